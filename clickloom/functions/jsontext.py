@@ -8,15 +8,24 @@ from pyspark.sql import functions as F
 _OID_PATTERN = r'"\$oid"\s*:\s*"([^"]+)"'
 
 
+def variant_text(value: Column, path: str) -> Column:
+    """What is at ``path`` as text; for an object or array that is its JSON text."""
+    return F.try_variant_get(value, path, "string")
+
+
+def _opens_container(text: Column) -> Column:
+    return text.substr(1, 1).isin("{", "[")
+
+
 def variant_scalar(value: Column, path: str) -> Column:
     """The scalar at ``path`` as text; NULL if absent, null, an object or an array.
 
-    ``try_variant_get(..., 'string')`` alone would return the JSON text of a
-    nested object, so containers are told apart by their variant schema first.
+    Text that merely looks like a container may be a string, so for those few
+    values the variant's schema decides.
     """
-    found = F.try_variant_get(value, path, "variant")
-    is_container = F.schema_of_variant(found).rlike("^(OBJECT|ARRAY)")
-    return F.when(~F.coalesce(is_container, F.lit(False)), F.try_variant_get(value, path, "string"))
+    text = variant_text(value, path)
+    schema = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+    return F.when(_opens_container(text) & schema.rlike("^(OBJECT|ARRAY)"), None).otherwise(text)
 
 
 def json_elements(text: Column) -> Column:
@@ -32,6 +41,6 @@ def is_json_array(text: Column) -> Column:
 def object_id(text: Column) -> Column:
     """The hex id in an extended-JSON ``{"$oid": "..."}`` wrapper, else NULL."""
     from_path = F.get_json_object(text, "$.$oid")
-    scalar = F.when(~from_path.rlike(r"^[\[{]"), from_path)
+    scalar = F.when(~_opens_container(from_path), from_path)
     from_text = F.nullif(F.regexp_extract(text, _OID_PATTERN, 1), F.lit(""))
     return F.coalesce(scalar, from_text)

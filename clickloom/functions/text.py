@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import html
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+# Send the decoder by value, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def squeeze(text: Column) -> Column:
@@ -24,7 +30,7 @@ def non_empty(text: Column) -> Column:
     return text.isNotNull() & (text != "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def decode_entities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Decode ``&amp;`` and its kind; Spark has no expression for it."""
     for batch in batches:

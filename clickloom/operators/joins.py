@@ -18,8 +18,11 @@ def hot_keys(
     At most ``1 / share`` keys can qualify, so the list fits the driver and a
     broadcast whatever the table's size.
     """
+    total = df.count()
+    limit = max(int(total * share), min_rows)
+    if total <= limit:
+        return None
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = max(int(df.count() * share), min_rows)
     rows = counted.where(F.col("_n") > limit).select(*keys).collect()
     if not rows:
         return None

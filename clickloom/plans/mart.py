@@ -13,6 +13,7 @@ from clickloom.functions.temporal import date_key, week_from_sunday
 from clickloom.operators.joins import lookup_join, spread_nulls
 from clickloom.operators.keys import with_dense_key
 from clickloom.plans.staging import (
+    cart_lines,
     checkout_events,
     checkout_line_items,
     latest_ip_locations,
@@ -253,7 +254,8 @@ def build_mart(events: DataFrame, products: DataFrame, ip_locations: DataFrame)
     newest IP locations, and all mart tables.
     """
     checkouts = materialise(checkout_events(events), "checkouts")
-    lines = materialise(checkout_line_items(checkouts), "line-items")
+    from_cart = materialise(cart_lines(checkouts), "cart-lines")
+    lines = materialise(checkout_line_items(checkouts, from_cart), "line-items")
     ips = materialise(latest_ip_locations(ip_locations), "ip-latest")
     days = materialise(dim_date(checkouts), "dim-date")
     customer = materialise(dim_customer(checkouts), "dim-customer")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.jsontext import json_elements, object_id, variant_scalar
+from clickloom.functions.jsontext import json_elements, object_id, variant_scalar, variant_text
 from clickloom.functions.numbers import inside, safe_divide, safe_integer, safe_numeric
 from clickloom.functions.temporal import epoch_date, epoch_timestamp
 from clickloom.operators.latest import latest_per_key
@@ -109,10 +109,6 @@ def latest_ip_locations(ip_locations: DataFrame) -> DataFrame:
     )
 
 
-def _first_usable(line: Column, fields: list[str], convert=lambda c: c) -> list[Column]:
-    return [convert(variant_scalar(line, f"$.{name}")) for name in fields]
-
-
 def _line_id(number: Column) -> Column:
     return F.concat("event_id", F.lit("-"), number.cast("string"))
 
@@ -127,14 +123,16 @@ def cart_lines(checkouts: DataFrame) -> DataFrame:
         F.posexplode(json_elements(F.col("cart_products"))).alias("position", "line"),
     )
     line = F.col("line")
-    amounts = _first_usable(line, AMOUNT_FIELDS, safe_numeric)
-    quantities = _first_usable(line, QUANTITY_FIELDS, safe_integer)
+    ids = [variant_scalar(line, f"$.{name}") for name in PRODUCT_FIELDS]
+    # a nested object's text is no number, so it needs no scalar test here
+    amounts = [safe_numeric(variant_text(line, f"$.{name}")) for name in AMOUNT_FIELDS]
+    quantities = [safe_integer(variant_text(line, f"$.{name}")) for name in QUANTITY_FIELDS]
     number = (F.col("position") + 1).cast("bigint")
     return elements.select(
         _line_id(number).alias("line_item_id"),
         "event_id",
         "order_id",
-        F.coalesce(*_first_usable(line, PRODUCT_FIELDS)).alias("product_id"),
+        F.coalesce(*ids).alias("product_id"),
         F.coalesce(*quantities, F.lit(1).cast("bigint")).alias("order_qty"),
         F.coalesce(*amounts, F.col("price_raw")).alias("line_amount"),
         "currency_code",
@@ -142,13 +140,13 @@ def cart_lines(checkouts: DataFrame) -> DataFrame:
     ).where(F.col("product_id").isNotNull())
 
 
-def event_level_lines(checkouts: DataFrame) -> DataFrame:
+def event_level_lines(checkouts: DataFrame, from_cart: DataFrame) -> DataFrame:
     """One line from the event itself where no event of that id has a cart line.
 
     The other side of the anti join is only the ids of events with cart lines.
     Both sides stay narrow, and Spark may split a hot id on the left.
     """
-    in_cart = cart_lines(checkouts).select("event_id").distinct()
+    in_cart = from_cart.select("event_id").distinct()
     single = checkouts.where(F.col("product_id").isNotNull()).select(
         "event_id", "order_id", "product_id", "price_raw", "currency_code"
     )
@@ -165,12 +163,15 @@ def event_level_lines(checkouts: DataFrame) -> DataFrame:
     )
 
 
-def checkout_line_items(checkouts: DataFrame) -> DataFrame:
+def checkout_line_items(checkouts: DataFrame, from_cart: DataFrame | None = None) -> DataFrame:
     """Checkout lines from carts and, failing those, from the event itself.
 
-    The amount is the line's price as sent, not price times quantity. Give a
-    written table: both branches read it.
+    The amount is the line's price as sent, not price times quantity. Both
+    branches need the cart lines: pass a written ``cart_lines`` table to have the
+    carts parsed once.
     """
-    lines = cart_lines(checkouts).unionByName(event_level_lines(checkouts))
+    if from_cart is None:
+        from_cart = cart_lines(checkouts)
+    lines = from_cart.unionByName(event_level_lines(checkouts, from_cart))
     unit_price = safe_divide(F.col("line_amount"), F.col("order_qty"))
     return lines.withColumn("unit_price", unit_price).select(*LINE_COLUMNS)

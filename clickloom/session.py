@@ -13,6 +13,10 @@ SQL_SETTINGS = {
     # Split a skewed join partition even where the join's output partitioning
     # would have saved a later shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM does not compile methods above 8000 bytes of bytecode. Wide event
+    # projections exceed that as one generated method and then run interpreted;
+    # with this limit Spark generates them as many small methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

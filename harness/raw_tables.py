@@ -13,10 +13,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from clickloom.sources.lake import write_raw
-from clickloom.workspace import new_path
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -111,14 +107,14 @@ select
   cast(null as string) as collect_id,
   '2024-03-0' || @s(1 + k % 5) as ingest_date
 from (
-  select
+  select /*+ merge(o) */
     l_orderkey as k, o_custkey as c, l_partkey as p, l_suppkey as s, l_linenumber as n,
     cast(l_quantity as bigint) as q,
     cast(cast(l_extendedprice as decimal(18,2)) as string) as amt,
     @days(o_orderdate) * 86400 + (l_orderkey * 7 + l_partkey) % 86400 as t,
     substr(md5(@s(l_orderkey) || '/' || @s(l_linenumber) || '/' || @s(l_partkey) || '/'
-      || @s(l_suppkey) || '/' || cast(cast(l_extendedprice as decimal(18,2)) as string)), 1, 24) as oid
-  from lineitem join orders on l_orderkey = o_orderkey
+      || @s(l_suppkey) || '/' || @s(o_custkey) || '/' || cast(cast(l_extendedprice as decimal(18,2)) as string)), 1, 24) as oid
+  from lineitem join orders as o on l_orderkey = o_orderkey
 ) as lines
 """
 
@@ -251,6 +247,19 @@ select
 from pages
 """
 
+_CRAWL_LOG = """
+select
+  @s(p_partkey) as product_id,
+  case when p_partkey % 6 = 5 then '' when p_partkey % 7 = 3 then null else p_name end as product_name,
+  'https://shop.example/p/' || @s(p_partkey) as source_url,
+  cast(case when p_partkey % 9 = 8 then null
+            else case p_partkey % 8 when 0 then 403 when 1 then 429 when 2 then 503 when 3 then 404 when 4 then 500 else 200 end
+       end as bigint) as status,
+  case when p_partkey % 9 = 8 then case when p_partkey % 2 = 0 then 'ConnectTimeout' else 'ConnectionError' end end as exception,
+  cast('2024-04-' || lpad(@s(1 + p_partkey % 28), 2, '0') || ' 08:30:00' as @ts) as updated_at
+from part
+"""
+
 SOURCES = {
     "raw_checkouts": _CHECKOUTS,
     "raw_behaviour": _BEHAVIOUR,
@@ -259,6 +268,7 @@ SOURCES = {
     "ip_ranges": _IP_RANGES,
     "manifest": _MANIFEST,
     "raw_pages": _PAGES,
+    "crawl_log": _CRAWL_LOG,
 }
 
 
@@ -315,34 +325,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class RawTables:
-    """The three raw tables of one test folder, written once in the engine's raw layout."""
+    """The three raw tables of one test folder as lazy views."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
-        self._paths: dict[str, str] = {}
-
-    def _table(self, name: str) -> DataFrame:
-        if name not in self._paths:
-            path = new_path(self.spark, f"raw-{name}")
-            whole = (
-                raw_events(self.spark, self.sf_dir)
-                if name == "events"
-                else derive(self.spark, self.sf_dir, f"raw_{name}")
-            )
-            write_raw(whole, name, path)
-            self._paths[name] = path
-        raw = self.spark.read.parquet(self._paths[name])
-        return raw.withColumn("ingest_date", F.col("ingest_date").cast("string"))
-
-    @property
-    def events(self) -> DataFrame:
-        return self._table("events")
-
-    @property
-    def products(self) -> DataFrame:
-        return self._table("products")
-
-    @property
-    def ip_locations(self) -> DataFrame:
-        return self._table("ip_locations")
+        self.events = raw_events(spark, sf_dir)
+        self.products = derive(spark, sf_dir, "raw_products")
+        self.ip_locations = derive(spark, sf_dir, "raw_ip_locations")
