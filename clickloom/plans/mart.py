@@ -246,6 +246,32 @@ class Mart:
     def view(self) -> DataFrame:
         return sales_performance(self.fact, self.dim_date, self.dim_product, self.dim_location)
 
+    def tables(self) -> dict[str, DataFrame]:
+        """Dimensions and fact under the names they are published by."""
+        return {
+            "dim_date": self.dim_date,
+            "dim_customer": self.dim_customer,
+            "dim_product": self.dim_product,
+            "dim_location": self.dim_location,
+            "fact_sales_order_detail": self.fact,
+        }
+
+    def publish(self, path: str) -> None:
+        """Replace the published tables; the build reads none of them."""
+        for name, df in self.tables().items():
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+
+    def register(self) -> None:
+        """Name staging, mart and reporting view for SQL users of the session."""
+        views = {
+            "stg_events__checkout_success": self.checkouts,
+            "stg_checkout_line_items": self.lines,
+            "stg_ip_locations": self.ip_locations,
+            "vw_sales_performance": self.view(),
+        }
+        for name, df in (views | self.tables()).items():
+            df.createOrReplaceTempView(name)
+
 
 def build_mart(events: DataFrame, products: DataFrame, ip_locations: DataFrame) -> Mart:
     """Stage the raw tables and write dimensions and fact.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.text import non_empty
+from clickloom.functions.text import non_empty, safe_name
 from clickloom.plans.staging import event_type
 from clickloom.sources.schemas import RAW_SCHEMAS, REQUIRED, SEMI_STRUCTURED, declared_type
 
@@ -43,21 +43,31 @@ def null_counts(df: DataFrame, table: str) -> DataFrame:
     return _long(row, "column", ["null_count"], {c: [_c(f"n_{c}")] for c in columns})
 
 
-def null_and_approx_distinct(df: DataFrame, table: str, log2_buckets: int = 12) -> DataFrame:
-    """NULLs and estimated distinct values of all scalar columns in one scan.
+def null_distinct_row(df: DataFrame, table: str, log2_buckets: int = 12) -> DataFrame:
+    """``null_count_<column>`` and ``distinct_count_<column>`` of all scalar columns, in one row.
 
-    A sketch is one small buffer per column and merges across tasks, however many
-    columns there are; 2^12 buckets give about 1.6 % error.
+    A distinct sketch is one small buffer per column and merges across tasks,
+    however many columns there are; 2^12 buckets give about 1.6 % error.
     """
-    columns = scalar_columns(table)
-    aggregates = [F.count_if(_c(c).isNull()).alias(f"n_{c}") for c in columns]
-    aggregates += [
-        F.hll_sketch_agg(_c(c).cast("string"), log2_buckets).alias(f"d_{c}") for c in columns
-    ]
+    aggregates = []
+    for c in scalar_columns(table):
+        sketch = F.hll_sketch_agg(_c(c).cast("string"), log2_buckets)
+        distinct = F.coalesce(F.hll_sketch_estimate(sketch), F.lit(0))
+        aggregates += [
+            F.count_if(_c(c).isNull()).alias(f"null_count_{safe_name(c)}"),
+            distinct.alias(f"distinct_count_{safe_name(c)}"),
+        ]
+    return df.agg(*aggregates)
+
+
+def null_and_approx_distinct(df: DataFrame, table: str) -> DataFrame:
+    """NULLs and estimated distinct values, a row per scalar column, from one scan."""
     entries = {
-        c: [_c(f"n_{c}"), F.coalesce(F.hll_sketch_estimate(_c(f"d_{c}")), F.lit(0))] for c in columns
+        c: [_c(f"null_count_{safe_name(c)}"), _c(f"distinct_count_{safe_name(c)}")]
+        for c in scalar_columns(table)
     }
-    return _long(df.agg(*aggregates), "column", ["null_count", "approx_distinct"], entries)
+    row = null_distinct_row(df, table)
+    return _long(row, "column", ["null_count", "approx_distinct"], entries)
 
 
 def exact_distinct(df: DataFrame, table: str) -> DataFrame:

@@ -33,8 +33,7 @@ class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        raw = raw_tables.RawTables(spark, sf_dir)
-        self.events, self.products, self.ip_locations = raw.events, raw.products, raw.ip_locations
+        self.raw = raw_tables.RawTables(spark, sf_dir)
         self._mart: mart.Mart | None = None
 
     @classmethod
@@ -44,6 +43,18 @@ class Domain:
             cls._known[key] = cls(tune(spark), sf_dir)
         return cls._known[key]
 
+    @property
+    def events(self) -> DataFrame:
+        return self.raw.events
+
+    @property
+    def products(self) -> DataFrame:
+        return self.raw.products
+
+    @property
+    def ip_locations(self) -> DataFrame:
+        return self.raw.ip_locations
+
     def derived(self, name: str) -> DataFrame:
         return raw_tables.derive(self.spark, self.sf_dir, name)
 

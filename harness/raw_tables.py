@@ -11,9 +11,12 @@ with the largest table and no order's lines are ever gathered in one row.
 from __future__ import annotations
 
 import re
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickloom.workspace import materialise
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -325,9 +328,24 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class RawTables:
-    """The three raw tables of one test folder as lazy views."""
+    """The three raw tables of one test folder, each written once on first use.
+
+    In use they are stored tables; writing them gives the queries columns to
+    prune and filters to push down, as a stored table does.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.events = raw_events(spark, sf_dir)
-        self.products = derive(spark, sf_dir, "raw_products")
-        self.ip_locations = derive(spark, sf_dir, "raw_ip_locations")
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return materialise(raw_events(self.spark, self.sf_dir), "raw-events")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return materialise(derive(self.spark, self.sf_dir, "raw_products"), "raw-products")
+
+    @cached_property
+    def ip_locations(self) -> DataFrame:
+        return materialise(derive(self.spark, self.sf_dir, "raw_ip_locations"), "raw-ips")

@@ -164,6 +164,16 @@ def test_view_has_no_personal_columns_and_22_columns(spark):
     assert "email_address" not in masked.columns and len(masked.first().email_hash) == 64
 
 
+def test_publish_and_register(spark, tmp_path):
+    m = build(spark, [checkout("a", product_id="1")], [], [product("1")])
+    m.publish(str(tmp_path))
+    m.publish(str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/fact_sales_order_detail").count() == 1
+    m.register()
+    row = spark.sql("select sum(sales_amount) s, max(metal_type) m from vw_sales_performance").first()
+    assert (float(row.s), row.m) == (100.0, "Not Defined")
+
+
 def test_reports(spark):
     cart = '[{"id":"1","qty":2,"price":10},{"id":"2","qty":1,"price":30}]'
     events = [
