@@ -41,10 +41,15 @@ def locate_in_ranges(
     )
     written = materialise(axis, "range-axis")
 
+    # one row per partition: the last range that starts in the partitions before it
+    last_start = (
+        written.where("_kind = 0").groupBy("_part").agg(F.max_by("_range", "_place").alias("_last"))
+    )
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        written.groupBy("_part")
-        .agg(F.max_by("_range", F.when(F.col("_kind") == 0, F.col("_place"))).alias("_last"))
+        written.select("_part")
+        .distinct()
+        .join(last_start, "_part", "left")
         .select("_part", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
     )
     so_far = (

@@ -243,8 +243,28 @@ class Mart:
     dim_location: DataFrame
     fact: DataFrame
 
-    def view(self) -> DataFrame:
-        return sales_performance(self.fact, self.dim_date, self.dim_product, self.dim_location)
+    def view(self, *columns: str) -> DataFrame:
+        """The reporting view, or some of its columns; see ``sales_performance``."""
+        return sales_performance(
+            self.fact, self.dim_date, self.dim_product, self.dim_location, list(columns)
+        )
+
+    def totals(self, *columns: str) -> DataFrame:
+        """View columns with sales and quantity added up per combination of dimension keys.
+
+        The fact shrinks to one row per key combination before it meets a
+        dimension, so a best-selling product or place is one row per task there.
+        Good for sums over the given columns, not for counting orders.
+        """
+        keys = [key for key, parts in _DIMENSION_PARTS.items() if set(parts) & set(columns)]
+        plain = [c for c in columns if c in self.fact.columns]
+        added = (
+            self.fact.where(F.col("date_key").isNotNull())
+            .groupBy(*dict.fromkeys(keys + plain))
+            .agg(F.sum("sales_amount").alias("sales_amount"), F.sum("order_qty").alias("order_qty"))
+        )
+        wanted = [*columns, "sales_amount", "order_qty"]
+        return sales_performance(added, self.dim_date, self.dim_product, self.dim_location, wanted)
 
     def tables(self) -> dict[str, DataFrame]:
         """Dimensions and fact under the names they are published by."""
@@ -292,37 +312,6 @@ def build_mart(events: DataFrame, products: DataFrame, ip_locations: DataFrame)
     return Mart(checkouts, lines, ips, days, customer, product, location, fact)
 
 
-def sales_performance(
-    fact: DataFrame, days: DataFrame, product: DataFrame, location: DataFrame
-) -> DataFrame:
-    """Denormalised reporting view; no customer columns, so nothing personal.
-
-    Dimensions are not hinted: Spark broadcasts those whose size is below the
-    threshold and shuffles the others.
-    """
-    return (
-        fact.join(days.select("date_key", *_DATE_PARTS), "date_key")
-        .join(product.select("product_key", "product_id", "product_name"), "product_key")
-        .join(location.select("location_key", *_PLACE_PARTS), "location_key")
-        .select(
-            "sales_order_line_key",
-            "order_id",
-            "event_id",
-            "order_qty",
-            "sales_amount",
-            "unit_price",
-            "currency_code",
-            "is_paypal",
-            *_DATE_PARTS,
-            "product_id",
-            "product_name",
-            *_PLACE_PARTS,
-            metal_type(F.col("product_name")).alias("metal_type"),
-            stone_type(F.col("product_name")).alias("stone_type"),
-        )
-    )
-
-
 _DATE_PARTS = [
     "full_date",
     "year_number",
@@ -331,7 +320,57 @@ _DATE_PARTS = [
     "quarter_number",
     "day_of_week",
 ]
+_PRODUCT_PARTS = ["product_id", "product_name"]
 _PLACE_PARTS = ["country_name", "country_short", "city_name", "region_name"]
+_PARSED_PARTS = {"metal_type": metal_type, "stone_type": stone_type}
+#: Dimension key of the fact -> view columns that need the dimension.
+_DIMENSION_PARTS = {
+    "date_key": _DATE_PARTS,
+    "product_key": [*_PRODUCT_PARTS, *_PARSED_PARTS],
+    "location_key": _PLACE_PARTS,
+}
+VIEW_COLUMNS = [
+    "sales_order_line_key",
+    "order_id",
+    "event_id",
+    "order_qty",
+    "sales_amount",
+    "unit_price",
+    "currency_code",
+    "is_paypal",
+    *_DATE_PARTS,
+    *_PRODUCT_PARTS,
+    *_PLACE_PARTS,
+    *_PARSED_PARTS,
+]
+
+
+def sales_performance(
+    fact: DataFrame,
+    days: DataFrame,
+    product: DataFrame,
+    location: DataFrame,
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """Denormalised reporting view; no customer columns, so nothing personal.
+
+    With ``columns`` only the dimensions they come from are joined. Every product
+    and place key of the fact exists in its dimension, and so does every date key
+    that is not NULL, so leaving a join out changes no other column.
+
+    Dimensions are not hinted: Spark broadcasts those whose size is below the
+    threshold and shuffles the others.
+    """
+    columns = columns or VIEW_COLUMNS
+    joined = fact
+    for key, dimension in (("date_key", days), ("product_key", product), ("location_key", location)):
+        stored = [c for c in _DIMENSION_PARTS[key] if c in dimension.columns]
+        if set(_DIMENSION_PARTS[key]) & set(columns):
+            joined = joined.join(dimension.select(key, *stored), key)
+        elif key == "date_key" and key in fact.columns:
+            joined = joined.where(F.col(key).isNotNull())
+    parsed = {c: rule(F.col("product_name")) for c, rule in _PARSED_PARTS.items() if c in columns}
+    return joined.select(*[parsed[c].alias(c) if c in parsed else c for c in columns])
 
 
 # -- documented extras -----------------------------------------------------------

@@ -64,10 +64,6 @@ class Domain:
             self._mart = mart.build_mart(self.events, self.products, self.ip_locations)
         return self._mart
 
-    @property
-    def view(self) -> DataFrame:
-        return self.mart.view()
-
     def models(self) -> dict[str, DataFrame]:
         m = self.mart
         return {
@@ -379,7 +375,7 @@ def q_fact_sales(d: Domain) -> DataFrame:
 
 @query
 def q_vw_sales_performance(d: Domain) -> DataFrame:
-    return d.view
+    return d.mart.view()
 
 
 @query
@@ -407,68 +403,71 @@ def q_dim_geo_hashed(d: Domain) -> DataFrame:
 
 @query
 def q_bi_scorecards(d: Domain) -> DataFrame:
-    return bi.scorecards(d.view)
+    return bi.scorecards(d.mart.view("sales_amount", "order_qty", "order_id", "full_date"))
 
 
 @query
 def q_bi_revenue_by_day(d: Domain) -> DataFrame:
-    return bi.revenue_by(d.view, "full_date")
+    return bi.revenue_by(d.mart.totals("full_date"), "full_date")
 
 
 @query
 def q_bi_orders_by_day(d: Domain) -> DataFrame:
-    return bi.orders_by(d.view, "full_date")
+    return bi.orders_by(d.mart.view("full_date", "order_id"), "full_date")
 
 
 @query
 def q_bi_trend_by_week(d: Domain) -> DataFrame:
-    return bi.trend(d.view, "week")
+    return bi.trend(d.mart.view("full_date", "order_id", "sales_amount"), "week")
 
 
 @query
 def q_bi_trend_by_month(d: Domain) -> DataFrame:
-    return bi.trend(d.view, "month")
+    return bi.trend(d.mart.view("full_date", "order_id", "sales_amount"), "month")
 
 
 @query
 def q_bi_top_stones(d: Domain) -> DataFrame:
-    return bi.top_by_revenue(d.view, "stone_type")
+    return bi.top_by_revenue(d.mart.totals("stone_type"), "stone_type")
 
 
 @query
 def q_bi_top_products(d: Domain) -> DataFrame:
-    return bi.top_by_revenue(d.view, "product_name")
+    return bi.top_by_revenue(d.mart.totals("product_name"), "product_name")
 
 
 @query
 def q_bi_metal_share(d: Domain) -> DataFrame:
-    return bi.share_of_revenue(d.view, "metal_type")
+    return bi.share_of_revenue(d.mart.totals("metal_type"), "metal_type")
 
 
 @query
 def q_bi_revenue_by_country(d: Domain) -> DataFrame:
-    return bi.revenue_by(d.view, "country_name")
+    return bi.revenue_by(d.mart.totals("country_name"), "country_name")
 
 
 @query
 def q_bi_geo_country_city(d: Domain) -> DataFrame:
-    return bi.geo_country_city(d.view)
+    return bi.geo_country_city(d.mart.view("country_name", "city_name", "order_id", "sales_amount"))
 
 
 @query
 def q_bi_product_performance(d: Domain) -> DataFrame:
-    return bi.product_performance(d.view)
+    return bi.product_performance(d.mart.totals("product_id", "product_name"))
 
 
 @query
 def q_bi_payment_breakdown(d: Domain) -> DataFrame:
-    return bi.payment_breakdown(d.view)
+    return bi.payment_breakdown(d.mart.view("is_paypal", "order_id", "order_qty", "sales_amount"))
 
 
 @query
 def q_bi_filtered_sales(d: Domain) -> DataFrame:
+    view = d.mart.view(
+        "country_name", "full_date", "year_number", "is_paypal", "order_id", "order_qty", "sales_amount"
+    )
     chosen = bi.filtered(
-        d.view, ["NATION_3", "NATION_8", "NATION_21"], "1996-02-01", "1999-10-31", "paypal"
+        view, ["NATION_3", "NATION_8", "NATION_21"], "1996-02-01", "1999-10-31", "paypal"
     )
     return chosen.groupBy("country_name", "year_number").agg(
         bi.revenue().alias("revenue"), bi.orders().alias("order_count"), bi.units().alias("units")

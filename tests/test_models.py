@@ -174,6 +174,24 @@ def test_publish_and_register(spark, tmp_path):
     assert (float(row.s), row.m) == (100.0, "Not Defined")
 
 
+def test_pruned_view_and_totals_agree_with_the_whole_view(spark):
+    cart = '[{"id":"1","qty":2,"price":10},{"id":"2","qty":1,"price":30}]'
+    events = [
+        checkout("a", cart_products=cart),
+        checkout("b", product_id="1", time_stamp=DAY + 86400, country="Spain"),
+        checkout("undated", product_id="1", time_stamp=None),
+    ]
+    m = build(spark, events, [], [product("1", product_name="Ruby"), product("2")])
+    assert m.fact.count() == 4 and m.view().count() == 3
+    for columns in (["sales_amount"], ["stone_type", "order_id"], ["city_name", "full_date"], ["is_paypal"]):
+        assert sorted(map(str, m.view(*columns).collect())) == sorted(map(str, m.view().select(*columns).collect()))
+    plan = m.view("order_id", "sales_amount")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    for dimension in ("stone_type", "country_name", "full_date", "is_paypal", "currency_code"):
+        whole = bi.revenue_by(m.view(), dimension)
+        assert sorted(map(str, bi.revenue_by(m.totals(dimension), dimension).collect())) == sorted(map(str, whole.collect()))
+
+
 def test_reports(spark):
     cart = '[{"id":"1","qty":2,"price":10},{"id":"2","qty":1,"price":30}]'
     events = [
