@@ -5,38 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_V4 = r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})$"
-_V6 = r"^[0-9a-f:]*:[0-9a-f:]*$"
+_OCTET = r"(25[0-5]|2[0-4]\d|1?\d?\d)"
+_V4 = rf"^({_OCTET}\.){{3}}{_OCTET}$"
+_HEX = "[0-9a-f]{1,4}"
+_V6_FULL = f"({_HEX}:){{7}}{_HEX}"
+_V6_SHORT = f"(?!.*::.*::)(?!.*:::)({_HEX}(:{_HEX})*)?::({_HEX}(:{_HEX})*)?"
+_V6 = f"^({_V6_FULL}|{_V6_SHORT})$"
 #: IPv4 addresses sort inside the IPv4-mapped block of the IPv6 space.
 _MAPPED = "0" * 20 + "ffff"
 
 
-def ipv4_number(ip: Column) -> Column:
-    """Dotted text to a number; NULL if it is not a valid IPv4 address."""
-    parts = [F.regexp_extract(ip, _V4, i).try_cast("bigint") for i in range(1, 5)]
-    number = parts[0] * 16777216 + parts[1] * 65536 + parts[2] * 256 + parts[3]
-    valid = parts[0].between(0, 255)
-    for part in parts[1:]:
-        valid = valid & part.between(0, 255)
-    return F.when(valid, number)
-
-
 def _groups(text: Column) -> Column:
-    """Colon-separated groups, each padded to four digits, as one string."""
-    padded = F.transform(
-        F.filter(F.split(text, ":"), lambda g: g != ""), lambda g: F.lpad(g, 4, "0")
-    )
-    return F.array_join(padded, "")
+    return F.filter(F.split(text, ":"), lambda group: group != "")
 
 
 def address_position(ip: Column) -> Column:
     """32 hex digits for an IPv4 or IPv6 address, NULL for anything else."""
-    v4 = F.concat(F.lit(_MAPPED), F.lpad(F.lower(F.hex(ipv4_number(ip))), 8, "0"))
+    octets = F.transform(
+        F.split(ip, r"\."), lambda o: F.lpad(F.lower(F.hex(o.try_cast("bigint"))), 2, "0")
+    )
     low = F.lower(ip)
-    halves = F.split(low, "::")
-    head = _groups(halves[0])
-    tail = F.when(F.size(halves) > 1, _groups(F.get(halves, F.lit(1)))).otherwise("")
-    gap = F.lit(32) - F.length(head) - F.length(tail)
-    v6 = F.concat(head, F.repeat(F.lit("0"), F.greatest(gap, F.lit(0))), tail)
-    is_v6 = low.rlike(_V6) & (F.length(v6) == 32)
-    return F.when(ip.rlike(_V4), v4).when(is_v6, v6)
+    zeros = F.repeat(F.lit("0:"), F.lit(8) - F.size(_groups(low)))
+    whole = F.replace(low, F.lit("::"), F.concat(F.lit(":"), zeros))
+    groups = F.transform(_groups(whole), lambda group: F.lpad(group, 4, "0"))
+    return F.when(ip.rlike(_V4), F.concat(F.lit(_MAPPED), F.array_join(octets, ""))).when(
+        low.rlike(_V6), F.array_join(groups, "")
+    )

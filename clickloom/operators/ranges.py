@@ -23,7 +23,7 @@ def locate_in_ranges(
     range is ever formed beyond the one that is kept. NULL points match nothing.
     """
     payload = F.struct(*[F.col(f"`{c}`") for c in ranges.columns])
-    starts = ranges.where(F.col(low).isNotNull()).select(
+    starts = ranges.select(
         F.col(low).alias("_pos"), F.lit(0).alias("_kind"), payload.alias("_range")
     )
     where = points.select(
@@ -61,7 +61,9 @@ def locate_in_ranges(
         .join(F.broadcast(carried), "_part")
         .withColumn("_near", F.coalesce("_here", "_carried"))
     )
-    hit = F.when(F.col("_pos") <= F.col(f"_near.{high}"), F.col("_near"))
+    # a range without a start sorts first and must not catch anything
+    inside = F.col(f"_near.{low}").isNotNull() & (F.col("_pos") <= F.col(f"_near.{high}"))
+    hit = F.when(inside, F.col("_near"))
     return nearest.select("_point.*", hit.alias("_hit")).select(
         *points.columns, *[F.col(f"_hit.{c}").alias(c) for c in ranges.columns]
     )

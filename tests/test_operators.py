@@ -97,6 +97,7 @@ def test_ranges_match_brute_force(spark, small_scans):
     spans = [(f"{a:06d}", f"{b - 1:06d}", i) for i, (a, b) in enumerate(zip(edges[::2], edges[1::2]))]
     picks = [random.randrange(100_000) for _ in range(3000)] + [edges[0], edges[1] - 1, edges[1]] + [4242] * 2000
     points = spark.createDataFrame([(f"{p:06d}",) for p in picks] + [(None,)], "p string")
+    spans.append((None, "999999", -1))
     ranges = spark.createDataFrame(spans, "low string, high string, tag int")
     got = locate_in_ranges(points, "p", ranges, "low", "high")
     plain = points.join(ranges, (points.p >= ranges.low) & (points.p <= ranges.high), "left")
