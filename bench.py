@@ -17,6 +17,7 @@ import sys
 import time
 
 from clickloom.session import local_session
+from clickloom.workspace import release
 from harness.catalog import QUERIES, Domain
 
 
@@ -56,6 +57,7 @@ def main() -> None:
         "queries": {name: round(s, 3) for name, s in seconds.items()},
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
+    release(spark)
     print(json.dumps(result))
 
 

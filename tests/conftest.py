@@ -6,11 +6,14 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from clickloom.session import local_session  # noqa: E402
+from clickloom.workspace import release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, shuffle_partitions=8)
+    session = local_session(8, shuffle_partitions=8)
+    yield session
+    release(session)
 
 
 @pytest.fixture
