@@ -11,13 +11,16 @@ SALTS = 64
 
 
 def hot_keys(
-    df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+    df: DataFrame, keys: list[str], share: float | None = None, min_rows: int | None = None
 ) -> DataFrame | None:
     """Keys holding more than ``share`` of the rows (and ``min_rows``), or None.
 
     At most ``1 / share`` keys can qualify, so the list fits the driver and a
-    broadcast whatever the table's size.
+    broadcast whatever the table's size. The defaults are ``HOT_SHARE`` and
+    ``HOT_ROWS``.
     """
+    share = HOT_SHARE if share is None else share
+    min_rows = HOT_ROWS if min_rows is None else min_rows
     total = df.count()
     limit = max(int(total * share), min_rows)
     if total <= limit:
@@ -35,8 +38,8 @@ def lookup_join(
     keys: list[str],
     how: str = "inner",
     row_id: str | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
+    share: float | None = None,
+    min_rows: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi join of a large ``left`` with a ``right`` that has few rows per key.

@@ -144,3 +144,13 @@ def upsert_ip_locations(old: DataFrame, new: DataFrame) -> DataFrame:
 def page_names(pages: DataFrame) -> DataFrame:
     """Product name shown by each fetched page."""
     return pages.select("page_id", "url", page_name(F.col("html")).alias("product_name"))
+
+
+def publish(events: DataFrame, path: str) -> None:
+    """Rebuild the collection tables: each step replaces its table and reads the one before."""
+    spark = events.sparkSession
+    unique_ips(events).write.mode("overwrite").parquet(f"{path}/unique_ips")
+    product_events(events).write.mode("overwrite").parquet(f"{path}/product_events")
+    interactions = spark.read.parquet(f"{path}/product_events")
+    candidates = product_candidates(interactions)
+    candidates.write.mode("overwrite").parquet(f"{path}/product_candidates")

@@ -37,7 +37,13 @@ def event_type() -> Column:
 
 
 def is_checkout() -> Column:
-    return event_type() == CHECKOUT
+    """``event_type() = 'checkout_success'`` in a form that reaches the Parquet scan.
+
+    A comparison of ``coalesce`` is not pushed down; this one is, and skips all
+    row groups without checkouts in files sorted by event name and collection.
+    """
+    name, collection = F.col("event_name"), F.col("collection")
+    return (name == CHECKOUT) | (name.isNull() & (collection == CHECKOUT))
 
 
 def checkout_events(events: DataFrame) -> DataFrame:

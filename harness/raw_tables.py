@@ -5,7 +5,8 @@ arithmetic and concatenation only. The few fragments that differ per engine are
 written ``@name(...)`` and filled in by ``for_spark`` / ``for_duckdb``.
 
 Every checkout event comes from one line item and its order, so the events grow
-with the largest table and no order's lines are ever gathered in one row.
+with the largest table and no order's lines are ever gathered in one row. Copies of a
+line are one event, as event ids are unique at the source.
 """
 
 from __future__ import annotations
@@ -110,14 +111,15 @@ select
   cast(null as string) as collect_id,
   '2024-03-0' || @s(1 + k % 5) as ingest_date
 from (
-  select /*+ merge(o) */
+  select
     l_orderkey as k, o_custkey as c, l_partkey as p, l_suppkey as s, l_linenumber as n,
     cast(l_quantity as bigint) as q,
     cast(cast(l_extendedprice as decimal(18,2)) as string) as amt,
     @days(o_orderdate) * 86400 + (l_orderkey * 7 + l_partkey) % 86400 as t,
     substr(md5(@s(l_orderkey) || '/' || @s(l_linenumber) || '/' || @s(l_partkey) || '/'
       || @s(l_suppkey) || '/' || @s(o_custkey) || '/' || cast(cast(l_extendedprice as decimal(18,2)) as string)), 1, 24) as oid
-  from lineitem join orders as o on l_orderkey = o_orderkey
+  from (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice from lineitem) as l
+    join (select distinct o_orderkey, o_custkey, o_orderdate from orders) as o on l_orderkey = o_orderkey
 ) as lines
 """
 
@@ -209,7 +211,7 @@ from (
 """
 
 _IP_RANGES = f"""
-select
+select distinct
   case when c_custkey % 19 = 0 then '2001:db8::' || @s(c_custkey % 10000) else {_dotted('4 * c_custkey')} end as ip_from,
   case when c_custkey % 19 = 0 then '2001:db8::' || @s(c_custkey % 10000) else {_dotted('4 * c_custkey + 2')} end as ip_to,
   'C' || @s(n_nationkey) as country_short,

@@ -36,5 +36,16 @@ def test_query_matches_oracle(spark, sql, name):
     assert mine == rows_of(columns, result.fetchall())
 
 
+@pytest.mark.parametrize("name", ["q_fact_sales", "q_event_geo"])
+def test_salted_joins_match_oracle(spark, sql, name, monkeypatch):
+    """With hardly a threshold many customers, places, products and IPs are hot."""
+    monkeypatch.setattr("clickloom.operators.joins.HOT_ROWS", 40)
+    monkeypatch.setattr("clickloom.operators.joins.HOT_SHARE", 0.005)
+    df = contract.queries()[name](spark, SF_DIR)
+    result = sql.execute(contract.oracle_sql()[name])
+    columns = [c[0] for c in result.description]
+    assert rows_of(df.columns, df.collect()) == rows_of(columns, result.fetchall())
+
+
 def test_entry(spark):
     assert contract.entry(spark).limit(1).count() == 1

@@ -233,6 +233,31 @@ def test_candidates(spark):
     assert [r.ip for r in collection.new_ips(ips, known, 1).collect()] == ["b"]
 
 
+def test_collection_tables_are_replaced(spark, tmp_path):
+    row = {"collection": "view_product_detail", "product_id": "1", "current_url": "u", "ip": "1.1.1.1"}
+    for _ in range(2):
+        collection.publish(table(spark, EVENTS, row, row), str(tmp_path))
+    counts = [spark.read.parquet(f"{tmp_path}/{t}").count() for t in ("unique_ips", "product_events", "product_candidates")]
+    assert counts == [1, 2, 1]
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    table(spark, EVENTS, checkout("a")).write.parquet(path)
+    raw = spark.read.parquet(path)
+
+    def scan_of(df):
+        spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+        text = df._jdf.queryExecution().executedPlan().toString()
+        return next(line for line in text.split("\n") if "FileScan" in line)
+
+    scan = scan_of(staging.checkout_events(raw).select("event_id", "price_raw"))
+    assert "EqualTo(event_name,checkout_success)" in scan and "EqualTo(collection,checkout_success)" in scan
+    assert "ReadSchema: struct<_id:string,collection:string,event_name:string,price:string>" in scan
+    assert "In(collection" in scan_of(collection.product_events(raw).select("ip"))
+    assert "Not(EqualTo(ip,))" in scan_of(collection.unique_ips(raw))
+
+
 def test_profile(spark):
     rows = [checkout("a", is_paypal="maybe"), checkout("b", is_paypal="TRUE", ip="1")]
     raw = table(spark, EVENTS, *rows).withColumn("ingest_date", F.lit("2024-01-01"))
