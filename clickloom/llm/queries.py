@@ -89,3 +89,6 @@ QUERIES = {
         op10_quality_rules,
     )
 }
+
+#: SQL for the queries that SQL can express.
+ORACLES: dict[str, str] = {}
