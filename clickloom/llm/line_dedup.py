@@ -6,8 +6,8 @@ n - ceil(s n) + 1 (prefix filter). The order is by rarity, counted over all docu
 in a sketch of fixed size; any global order is exact, a good one keeps groups small.
 Lines that share a prefix token are candidates if their sizes allow the similarity
 (length filter), if enough tokens can still follow (positional filter) and if their
-bitmaps don't differ in more bits than their sets may in tokens. What is left is
-verified on the words themselves.
+parity bitmaps don't differ in more bits than their sets may in tokens. What is left
+is verified on the words themselves.
 """
 
 from __future__ import annotations
@@ -134,7 +134,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
     return np.minimum(np.round(16 * np.log2(counts + 1)), 1023).astype(np.uint16)
 
 
-_LINES = "doc_id long, line int, set long, n int, bits long, prefix array<int>"
+_LINES = "doc_id long, line int, set long, n int, even long, odd long, prefix array<int>"
 
 
 def _line_sets(classes, threshold: float):
@@ -162,7 +162,14 @@ def _sets_of(rows, classes: np.ndarray, threshold: float):
     first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
     n = np.diff(np.append(first, len(line)))
     sets = _mix(np.add.reduceat(_mix(hashes + np.uint64(_BASE)), first)).view(np.int64)
-    bits = np.bitwise_or.reduceat(np.uint64(1) << (hashes >> np.uint64(7) & np.uint64(63)), first)
+    parity = [
+        np.bitwise_xor.reduceat(
+            (hashes >> np.uint64(6) & np.uint64(1) == half)
+            * (np.uint64(1) << (hashes & np.uint64(63))),
+            first,
+        ).view(np.int64)
+        for half in (0, 1)
+    ]
     length = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
     numbers = line[first]
     doc = np.searchsorted(doc_starts, np.concatenate([[0], breaks + 1])[numbers], "right") - 1
@@ -177,12 +184,13 @@ def _sets_of(rows, classes: np.ndarray, threshold: float):
             pa.array((numbers - lines_before[doc]).astype(np.int32)),
             pa.array(sets),
             pa.array(n.astype(np.int32)),
-            pa.array(bits.view(np.int64)),
+            pa.array(parity[0]),
+            pa.array(parity[1]),
             pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(prefix)
             ),
         ],
-        ["doc_id", "line", "set", "n", "bits", "prefix"],
+        ["doc_id", "line", "set", "n", "even", "odd", "prefix"],
     )
 
 
@@ -215,7 +223,7 @@ def _candidates(threshold: float, most: int | None):
     """
 
     def compare(group):
-        tokens, sets, n, pos, bits = group
+        _, sets, n, pos, *parity = group
         size = len(sets)
         for b0 in range(0, size, BLOCK):
             b1 = min(size, b0 + BLOCK)
@@ -231,9 +239,10 @@ def _candidates(threshold: float, most: int | None):
                 ok &= rest + np.minimum(pos[theirs][None, :], pos[mine][:, None]) >= (
                     threshold / (1 + threshold) * (na + nb) - 1e-9
                 )
-                ok &= _similar(
-                    na, nb, np.bitwise_count(bits[theirs][None, :] ^ bits[mine][:, None]), threshold
+                differing = sum(
+                    np.bitwise_count(p[theirs][None, :] ^ p[mine][:, None]) for p in parity
                 )
+                ok &= _similar(na, nb, differing, threshold)
                 if most is not None:
                     ok &= (found < most)[:, None]
                 i, j = np.nonzero(ok)
@@ -250,8 +259,8 @@ def _candidates(threshold: float, most: int | None):
     def run(batches):
         rest = None
         for batch in batches:
-            columns = [batch.column(k).to_numpy() for k in range(5)]
-            columns[4] = columns[4].view(np.uint64)
+            columns = [batch.column(k).to_numpy() for k in range(6)]
+            columns[4:] = [c.view(np.uint64) for c in columns[4:]]
             if rest is not None:
                 columns = [np.concatenate(c) for c in zip(rest, columns, strict=True)]
             last = int(np.searchsorted(columns[0], columns[0][-1]))
@@ -286,7 +295,7 @@ def _candidates(threshold: float, most: int | None):
 
 def _small(columns, edges, sizes, chosen, threshold: float, most: int | None):
     """Candidates within small groups, for all of them at once, nearest to the first row first."""
-    _, sets, n, pos, bits = columns
+    _, sets, n, pos, *parity = columns
     size = sizes[chosen]
     first = np.repeat(edges[chosen], size)
     at = first + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
@@ -304,7 +313,7 @@ def _small(columns, edges, sizes, chosen, threshold: float, most: int | None):
         ok &= np.minimum(na - pos[a], nb - pos[b]) + np.minimum(pos[a], pos[b]) >= (
             threshold / (1 + threshold) * total - 1e-9
         )
-        ok &= _similar(na, nb, np.bitwise_count(bits[a] ^ bits[b]), threshold)
+        ok &= _similar(na, nb, sum(np.bitwise_count(p[a] ^ p[b]) for p in parity), threshold)
         a, b, use = a[ok], b[ok], use[ok]
         found[use] += 1
         out[0].append(sets[b])
@@ -324,46 +333,50 @@ def _words(line: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(line, r"[\x20\x09-\x0D]+"), ""))
 
 
-def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``set`` and words of the wanted lines (set, doc_id, line).
+def _among(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """``rows`` but for most of those whose key isn't wanted, without a shuffle of them.
 
-    A filter of 2 ** ``LINE_BITS`` bits is broadcast, so few other lines are shuffled.
+    A filter of 2 ** ``LINE_BITS`` bits is broadcast, whatever the number of keys.
     """
-    place = F.pmod(F.xxhash64("doc_id", "line"), F.lit(1 << LINE_BITS))
+    place = lambda c: F.pmod(c, F.lit(1 << LINE_BITS)).cast("int")
     bits = (
-        wanted.select(place.alias("p"))
-        .groupBy(F.floor(F.col("p") / 64).cast("int").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, int(p % 64))")).alias("mask"))
+        wanted.select(place(wanted_key).alias("p"))
+        .groupBy(F.expr("p div 64").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, p % 64)")).alias("mask"))
     )
-    lines = (
-        docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-        .withColumn("p", place)
-        .withColumn("word", F.floor(F.col("p") / 64).cast("int"))
+    return (
+        rows.withColumn("p", place(key))
+        .withColumn("word", F.expr("p div 64"))
         .join(F.broadcast(bits), "word")
-        .filter(F.expr("shiftright(mask, int(p % 64)) & 1 = 1"))
-        .select("doc_id", "line", "content")
-    )
-    return lines.join(wanted, ["doc_id", "line"]).select(
-        "set", _words(F.col("content")).alias("words")
+        .filter(F.expr("shiftright(mask, p % 64) & 1 = 1"))
+        .drop("p", "word", "mask")
     )
 
 
+def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``set`` and ``content`` of the wanted lines (set, doc_id, line)."""
+    key = F.xxhash64("doc_id", "line")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    return _among(lines, key, wanted, key).join(wanted, ["doc_id", "line"]).select("set", "content")
+
+
 def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """The sets of the pairs whose words reach the similarity."""
     wanted = pairs.select(F.explode(F.array("set", "witness")).alias("set")).distinct()
     texts = materialise(
-        _line_texts(docs, firsts.join(wanted, "set").select("set", "doc_id", "line"))
-        .groupBy("set")
-        .agg(F.any_value("words").alias("words")),
-        "line_words",
+        _line_texts(docs, firsts.join(wanted, "set").select("set", "doc_id", "line")).dropDuplicates(
+            ["set"]
+        ),
+        "line_texts",
     )
-    other = texts.select(F.col("set").alias("witness"), F.col("words").alias("others"))
-    shared = F.size(F.array_intersect("words", "others"))
+    other = texts.select(F.col("set").alias("witness"), F.col("content").alias("other"))
     return (
         pairs.join(texts, "set")
         .join(other, "witness")
+        .select("set", _words(F.col("content")).alias("a"), _words(F.col("other")).alias("b"))
         .filter(
-            shared * (1 + threshold) >= threshold * (F.size("words") + F.size("others")) - 1e-9
+            F.size(F.array_intersect("a", "b")) * (1 + threshold)
+            >= threshold * (F.size("a") + F.size("b")) - 1e-9
         )
         .select("set")
         .distinct()
@@ -391,32 +404,35 @@ def removed_lines(
     lines = materialise(plain.mapInArrow(_line_sets(classes, threshold), _LINES), "lines")
     firsts = materialise(
         lines.groupBy("set")
-        .agg(F.min(F.struct("doc_id", "line", "n", "bits", "prefix")).alias("f"))
+        .agg(F.min(F.struct("doc_id", "line", "n", "even", "odd", "prefix")).alias("f"))
         .select("set", "f.*"),
         "line_sets",
     )
     places = firsts.select("set", "doc_id", "line")
 
-    def candidates(sets: DataFrame, most: int | None) -> DataFrame:
-        rows = sets.select(
-            F.posexplode("prefix").alias("pos", "token"), "set", "n", "bits", "doc_id", "line"
+    def candidates(most: int | None, among: DataFrame | None = None) -> DataFrame:
+        rows = firsts.select(
+            F.posexplode("prefix").alias("pos", "token"), "set", "n", "even", "odd", "doc_id", "line"
         )
+        if among is not None:
+            tokens = firsts.join(among, "set", "left_semi").select(F.explode("prefix").alias("t"))
+            rows = _among(rows, F.xxhash64("token"), tokens, F.xxhash64("t"))
         return (
             rows.repartition("token")
             .sortWithinPartitions("token", "doc_id", "line", "set")
-            .select("token", "set", "n", "pos", "bits")
+            .select("token", "set", "n", "pos", "even", "odd")
             .mapInArrow(_candidates(threshold, most), _CANDIDATES)
             .groupBy("set", "witness")
             .agg(F.max("more").alias("more"))
         )
 
-    pairs = materialise(candidates(firsts, FIRST_WITNESSES), "line_pairs")
+    pairs = materialise(candidates(FIRST_WITNESSES), "line_pairs")
     matched = materialise(_verified(plain, places, pairs, threshold), "matched")
     open_sets = pairs.filter("more").select("set").distinct().join(matched, "set", "left_anti")
     open_sets = materialise(open_sets, "open_sets")
     if not open_sets.isEmpty():
         rest = materialise(
-            candidates(firsts, None).join(open_sets, "set", "left_semi"), "line_pairs"
+            candidates(None, open_sets).join(open_sets, "set", "left_semi"), "line_pairs"
         )
         matched = matched.unionByName(_verified(plain, places, rest, threshold))
     marks = places.join(matched.withColumn("similar", F.lit(True)), "set", "left").select(
