@@ -28,9 +28,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Buckets of the rarity counts and of the filter of wanted lines. Fixed, whatever the input.
 COUNT_BITS, LINE_BITS = 20, 23
 #: Bytes of text that are hashed at once in a task.
-CHUNK = 1 << 22
+CHUNK = 1 << 18
 #: Earlier candidates of a line and token that go to the first verification.
-FIRST_WITNESSES = 2
+FIRST_WITNESSES = 4
 #: Lines of a token that are compared with one another at once.
 BLOCK = 512
 
@@ -106,12 +106,16 @@ def _joined(rows) -> tuple[np.ndarray, np.ndarray]:
 
 def _count_tokens(batches):
     counts = np.zeros(1 << COUNT_BITS, np.int64)
+    held = []
     for batch in batches:
         for rows in _texts(batch):
             hashes = hash_words(_joined(rows)[0])[1]
-            counts += np.bincount(
-                (hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=len(counts)
-            )
+            held.append((hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64))
+            if sum(map(len, held)) > 1 << 20:
+                counts += np.bincount(np.concatenate(held), minlength=len(counts))
+                held = []
+    if held:
+        counts += np.bincount(np.concatenate(held), minlength=len(counts))
     used = np.flatnonzero(counts)
     for k in range(0, len(used), 1 << 16):
         at = used[k : k + (1 << 16)]
@@ -212,29 +216,32 @@ def _similar(n_a, n_b, differing, threshold: float):
     return differing <= (1 - threshold) / (1 + threshold) * total + 1e-9
 
 
-_CANDIDATES = "set long, witness long, more boolean"
+_CANDIDATES = "doc_id long, line int, other_id long, other_line int, more boolean"
 
 
 def _candidates(threshold: float, most: int | None):
-    """Earlier lines that may be similar, from rows sorted by token and first place.
+    """Earlier lines that may be similar, from rows sorted by token and place.
 
-    For each line the ``most`` earliest (all, if None) and whether there are more. Groups
-    are compared block by block.
+    For each line that asks, the ``most`` earliest (all, if None) and whether there are
+    more. Groups are compared block by block.
     """
 
     def compare(group):
-        _, sets, n, pos, *parity = group
-        size = len(sets)
+        _, ids, lines, asks, n, pos, *parity = group
+        size = len(ids)
         for b0 in range(0, size, BLOCK):
             b1 = min(size, b0 + BLOCK)
             found = np.zeros(b1 - b0, np.int64)
-            mine = slice(b0, b1)
+            mine = b0 + np.flatnonzero(asks[b0:b1])
+            found = found[: len(mine)]
+            if not len(mine):
+                continue
             for a0 in range(0, b1, BLOCK):
                 theirs = slice(a0, min(a0 + BLOCK, b1))
                 na, nb = n[theirs][None, :], n[mine][:, None]
                 least, largest = np.minimum(na, nb), np.maximum(na, nb)
                 ok = least >= threshold * largest - 1e-9
-                ok &= np.arange(a0, theirs.stop)[None, :] < np.arange(b0, b1)[:, None]
+                ok &= np.arange(a0, theirs.stop)[None, :] < mine[:, None]
                 rest = np.minimum(na - pos[theirs][None, :], nb - pos[mine][:, None])
                 ok &= rest + np.minimum(pos[theirs][None, :], pos[mine][:, None]) >= (
                     threshold / (1 + threshold) * (na + nb) - 1e-9
@@ -250,17 +257,18 @@ def _candidates(threshold: float, most: int | None):
                     run = np.arange(len(i)) - np.searchsorted(i, i)
                     place = run + found[i]
                     keep = np.ones(len(i), bool) if most is None else place < most
-                    more = np.zeros(b1 - b0, bool)
+                    more = np.zeros(len(mine), bool)
                     if most is not None:
                         more[i[place >= most - 1]] = True
-                    found += np.bincount(i, minlength=b1 - b0)
-                    yield sets[mine][i[keep]], sets[theirs][j[keep]], more[i[keep]]
+                    found += np.bincount(i, minlength=len(mine))
+                    b, a = mine[i[keep]], a0 + j[keep]
+                    yield ids[b], lines[b], ids[a], lines[a], more[i[keep]]
 
     def run(batches):
         rest = None
         for batch in batches:
-            columns = [batch.column(k).to_numpy() for k in range(6)]
-            columns[4:] = [c.view(np.uint64) for c in columns[4:]]
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(8)]
+            columns[6:] = [c.view(np.uint64) for c in columns[6:]]
             if rest is not None:
                 columns = [np.concatenate(c) for c in zip(rest, columns, strict=True)]
             last = int(np.searchsorted(columns[0], columns[0][-1]))
@@ -275,7 +283,7 @@ def _candidates(threshold: float, most: int | None):
             return
         edges = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]]))
         sizes = np.diff(edges)
-        out = [[], [], []]
+        out = [[] for _ in range(5)]
         # small groups together: every row against the one k places before it
         small = np.flatnonzero((sizes > 1) & (sizes <= 64))
         if len(small):
@@ -286,7 +294,7 @@ def _candidates(threshold: float, most: int | None):
                     o.append(p)
                 if sum(map(len, out[0])) > 1 << 16:
                     yield _batch(out)
-                    out = [[], [], []]
+                    out = [[] for _ in range(5)]
         if out[0]:
             yield _batch(out)
 
@@ -295,15 +303,15 @@ def _candidates(threshold: float, most: int | None):
 
 def _small(columns, edges, sizes, chosen, threshold: float, most: int | None):
     """Candidates within small groups, for all of them at once, nearest to the first row first."""
-    _, sets, n, pos, *parity = columns
+    _, ids, lines, asks, n, pos, *parity = columns
     size = sizes[chosen]
     first = np.repeat(edges[chosen], size)
     at = first + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     found = np.zeros(len(at), np.int64)
-    out = [[], [], []]
+    out = [[] for _ in range(5)]
     for k in range(int(size.max()) - 1):
         a, b = first + k, at
-        use = np.flatnonzero(a < b)
+        use = np.flatnonzero((a < b) & asks[b])
         if most is not None:
             use = use[found[use] < most]
         a, b = a[use], b[use]
@@ -316,16 +324,16 @@ def _small(columns, edges, sizes, chosen, threshold: float, most: int | None):
         ok &= _similar(na, nb, sum(np.bitwise_count(p[a] ^ p[b]) for p in parity), threshold)
         a, b, use = a[ok], b[ok], use[ok]
         found[use] += 1
-        out[0].append(sets[b])
-        out[1].append(sets[a])
-        out[2].append(np.zeros(len(a), bool) if most is None else found[use] >= most)
+        for o, part in zip(out, (ids[b], lines[b], ids[a], lines[a]), strict=False):
+            o.append(part)
+        out[4].append(np.zeros(len(a), bool) if most is None else found[use] >= most)
     if sum(map(len, out[0])):
         yield _batch(out)
 
 
 def _batch(out) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(o)) for o in out], ["set", "witness", "more"]
+        [pa.array(np.concatenate(o)) for o in out], ["doc_id", "line", "other_id", "other_line", "more"]
     )
 
 
@@ -353,32 +361,35 @@ def _among(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column)
     )
 
 
+_PLACE = ["doc_id", "line"]
+_OTHER = ["other_id", "other_line"]
+
+
 def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``set`` and ``content`` of the wanted lines (set, doc_id, line)."""
-    key = F.xxhash64("doc_id", "line")
+    """``content`` of the wanted lines (doc_id, line)."""
+    key = F.xxhash64(*_PLACE)
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    return _among(lines, key, wanted, key).join(wanted, ["doc_id", "line"]).select("set", "content")
+    return _among(lines, key, wanted, key).join(wanted, _PLACE)
 
 
-def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """The sets of the pairs whose words reach the similarity."""
-    wanted = pairs.select(F.explode(F.array("set", "witness")).alias("set")).distinct()
-    texts = materialise(
-        _line_texts(docs, firsts.join(wanted, "set").select("set", "doc_id", "line")).dropDuplicates(
-            ["set"]
-        ),
-        "line_texts",
+def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """The lines of the pairs whose words reach the similarity with the other's."""
+    others = [F.col(o).alias(p) for o, p in zip(_OTHER, _PLACE, strict=True)]
+    wanted = pairs.select(*_PLACE).unionByName(pairs.select(*others)).distinct()
+    texts = materialise(_line_texts(docs, wanted).dropDuplicates(_PLACE), "line_texts")
+    other = texts.select(
+        *[F.col(p).alias(o) for o, p in zip(_OTHER, _PLACE, strict=True)],
+        F.col("content").alias("other"),
     )
-    other = texts.select(F.col("set").alias("witness"), F.col("content").alias("other"))
     return (
-        pairs.join(texts, "set")
-        .join(other, "witness")
-        .select("set", _words(F.col("content")).alias("a"), _words(F.col("other")).alias("b"))
+        pairs.join(texts, _PLACE)
+        .join(other, _OTHER)
+        .select(*_PLACE, _words(F.col("content")).alias("a"), _words(F.col("other")).alias("b"))
         .filter(
             F.size(F.array_intersect("a", "b")) * (1 + threshold)
             >= threshold * (F.size("a") + F.size("b")) - 1e-9
         )
-        .select("set")
+        .select(*_PLACE)
         .distinct()
     )
 
@@ -408,41 +419,43 @@ def removed_lines(
         .select("set", "f.*"),
         "line_sets",
     )
-    places = firsts.select("set", "doc_id", "line")
 
-    def candidates(most: int | None, among: DataFrame | None = None) -> DataFrame:
-        rows = firsts.select(
-            F.posexplode("prefix").alias("pos", "token"), "set", "n", "even", "odd", "doc_id", "line"
+    def candidates(most: int | None, asking: DataFrame | None = None) -> DataFrame:
+        sets = firsts.withColumn("asks", F.lit(True))
+        if asking is not None:
+            sets = firsts.join(asking.withColumn("asks", F.lit(True)), _PLACE, "left").fillna(
+                False, ["asks"]
+            )
+        rows = sets.select(
+            F.posexplode("prefix").alias("pos", "token"), *_PLACE, "asks", "n", "even", "odd"
         )
-        if among is not None:
-            tokens = firsts.join(among, "set", "left_semi").select(F.explode("prefix").alias("t"))
+        if asking is not None:
+            tokens = firsts.join(asking, _PLACE, "left_semi").select(F.explode("prefix").alias("t"))
             rows = _among(rows, F.xxhash64("token"), tokens, F.xxhash64("t"))
         return (
             rows.repartition("token")
-            .sortWithinPartitions("token", "doc_id", "line", "set")
-            .select("token", "set", "n", "pos", "even", "odd")
+            .sortWithinPartitions("token", *_PLACE)
+            .select("token", *_PLACE, "asks", "n", "pos", "even", "odd")
             .mapInArrow(_candidates(threshold, most), _CANDIDATES)
-            .groupBy("set", "witness")
+            .groupBy(*_PLACE, *_OTHER)
             .agg(F.max("more").alias("more"))
         )
 
     pairs = materialise(candidates(FIRST_WITNESSES), "line_pairs")
-    matched = materialise(_verified(plain, places, pairs, threshold), "matched")
-    open_sets = pairs.filter("more").select("set").distinct().join(matched, "set", "left_anti")
-    open_sets = materialise(open_sets, "open_sets")
-    if not open_sets.isEmpty():
-        rest = materialise(
-            candidates(None, open_sets).join(open_sets, "set", "left_semi"), "line_pairs"
-        )
-        matched = matched.unionByName(_verified(plain, places, rest, threshold))
-    marks = places.join(matched.withColumn("similar", F.lit(True)), "set", "left").select(
-        "set", F.struct("doc_id", "line").alias("first"), F.coalesce("similar", F.lit(False)).alias("similar")
+    matched = materialise(_verified(plain, pairs, threshold), "matched")
+    asking = pairs.filter("more").select(*_PLACE).distinct().join(matched, _PLACE, "left_anti")
+    asking = materialise(asking, "asking")
+    if not asking.isEmpty():
+        rest = materialise(candidates(None, asking), "line_pairs")
+        matched = matched.unionByName(_verified(plain, rest, threshold))
+    marks = firsts.join(matched.withColumn("similar", F.lit(True)), _PLACE, "left").select(
+        "set", F.struct(*_PLACE).alias("first"), F.coalesce("similar", F.lit(False)).alias("similar")
     )
     return (
-        lines.select("doc_id", "line", "set")
+        lines.select(*_PLACE, "set")
         .join(marks, "set")
-        .filter(F.col("similar") | (F.struct("doc_id", "line") != F.col("first")))
-        .select("doc_id", "line")
+        .filter(F.col("similar") | (F.struct(*_PLACE) != F.col("first")))
+        .select(*_PLACE)
         .distinct()
     )
 
