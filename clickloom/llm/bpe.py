@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from sentencepiece import SentencePieceProcessor
 
 from clickloom.llm.common import map_rows, whole_text
-from clickloom.llm.pretokens import CachedIds
+from clickloom.llm.pretokens import CachedIds, worker_local
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -135,7 +135,9 @@ def encode_documents(
     schema = _SCHEMA if keep_ids else pa.schema([f for f in _SCHEMA if f.name != "ids"])
 
     def rows(incoming):
-        bpe = ByteBpe(pieces.value, pattern)
+        bpe = worker_local(
+            ("bpe", vocabulary, len(pieces.value), pattern), lambda: ByteBpe(pieces.value, pattern)
+        )
         for row in incoming:
             ids = bpe.encode(row["text"])
             yield {

@@ -22,18 +22,26 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from clickloom.llm.common import map_rows, whole_text
-from clickloom.llm.pretokens import CachedIds
+from clickloom.llm.pretokens import CachedIds, worker_local
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Cost of a cut, in padding tokens: at a sentence's end, inside a sentence, for any window.
-SENTENCE_CUT, INNER_CUT, ANY_WINDOW = 2.0, 24.0, 0.5
+SENTENCE_CUT, INNER_CUT, ANY_WINDOW = 2.0, 24.0, 4.0
 #: Distance of the cuts allowed inside a long sentence.
 INNER_STEP = 64
 #: Tokens that are laid out together. Bounds a task's memory; costs one short window each.
 BLOCK_TOKENS = 1 << 22
 
 
+def _sorted_places(total: int, *places) -> np.ndarray:
+    """The distinct numbers of 0 to ``total`` in some arrays, ascending."""
+    marked = np.zeros(total + 1, bool)
+    for p in places:
+        marked[p] = True
+    return np.flatnonzero(marked)
+
+
 def cut_positions(
     total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -42,14 +50,14 @@ def cut_positions(
     Stretches without a natural cut get one every ``INNER_STEP`` tokens; the last
     window's stretch gets all of them, so that a block's rest splits into powers of two.
     """
-    natural = np.unique(np.concatenate([[0], doc_ends, sentence_ends, [total]]))
+    natural = _sorted_places(total, [0], doc_ends, sentence_ends, [total])
     gaps = np.diff(natural)
     long = np.flatnonzero(gaps > INNER_STEP)
     counts = (gaps[long] - 1) // INNER_STEP
     steps = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + 1
     inner = np.repeat(natural[long], counts) + steps * INNER_STEP
     tail = np.arange(max(0, total - window), total)
-    positions = np.unique(np.concatenate([natural, inner, tail]))
+    positions = _sorted_places(total, natural, inner, tail)
     cost = np.full(len(positions), INNER_CUT)
     cost[np.searchsorted(positions, sentence_ends)] = SENTENCE_CUT
     cost[np.searchsorted(positions, doc_ends)] = 0.0
@@ -99,7 +107,7 @@ def _lay_out(parts, sentence_end, window, sequence, keep_ids):
     sentences = np.flatnonzero(sentence_end[ids]) + 1
     positions, cost = cut_positions(len(ids), ends, sentences, window)
     windows = positions[best_cuts(positions, cost, window)]
-    bounds = np.unique(np.concatenate([starts, windows]))
+    bounds = _sorted_places(len(ids), starts, windows)
     of_part = np.searchsorted(ends, bounds[:-1], "right").tolist()
     of_window = np.searchsorted(windows, bounds[:-1], "right") - 1
     offsets = (bounds[:-1] - windows[of_window]).tolist()
@@ -133,6 +141,32 @@ def sentence_ending(tokenizer: Tokenizer, end_id: int) -> np.ndarray:
     return ends
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printing characters of Latin-1 stand for themselves, the other bytes in their order
+    for the code points from 256 on.
+    """
+    printing = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printing]
+    return {b: chr(b) for b in printing} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class _Packer:
+    """The tokenizer with its caches, and which ids end a sentence."""
+
+    def __init__(self, spec: bytes, pattern: str, end_id: int):
+        model = Tokenizer.from_buffer(spec)
+        tokenize, characters = model.model.tokenize, byte_characters()
+
+        def encode(pretoken: str) -> list[int]:
+            raw = pretoken.encode()
+            return [t.id for t in tokenize("".join(map(characters.__getitem__, raw)))]
+
+        self.encode = CachedIds(encode, pattern)
+        self.sentence_end = sentence_ending(model, end_id)
+
+
 def pack_documents(
     docs: DataFrame,
     tokenizer: str,
@@ -147,7 +181,7 @@ def pack_documents(
     """Pieces of documents placed in windows of ``window`` (a power of two) tokens.
 
     A document's ids are those of the byte-level BPE ``tokenizer`` file (read on the
-    driver, fixed size) and ``end_id``. One row per piece: ``doc_id``, ``start`` (ids
+    driver, fixed size) for each match of ``pattern``, and ``end_id``. One row per piece: ``doc_id``, ``start`` (ids
     of its document before it), ``length``, ``ids_crc32``, ``doc_tokens``,
     ``sequence_id``, ``offset`` (in its sequence, gapless from 0) and ``ids`` (binary,
     little-endian unsigned 32-bit; left out unless ``keep_ids``).
@@ -174,10 +208,11 @@ def pack_documents(
     ][: 8 if keep_ids else 7]
 
     def rows(incoming):
-        model = Tokenizer.from_buffer(spec.value)
-        model.encode_special_tokens = True  # their strings in a text are ordinary text
-        encode = CachedIds(lambda p: model.encode(p, add_special_tokens=False).ids, pattern)
-        sentence_end = sentence_ending(model, end_id)
+        packer = worker_local(
+            ("packing", zlib.crc32(spec.value), pattern, end_id),
+            lambda: _Packer(spec.value, pattern, end_id),
+        )
+        encode, sentence_end = packer.encode, packer.sentence_end
         end = end_id.to_bytes(4, "little")
         sequence = TaskContext.get().partitionId() << 40
         parts, waiting = [], 0

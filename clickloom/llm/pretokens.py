@@ -3,14 +3,17 @@
 Byte-level BPE never merges across pre-tokens, and a blank between two words
 always opens the next pre-token. So a text's ids are the ids of its words, each
 with the blank before it, wherever no longer run of white space crosses such a
-cut. Both caches are bounded: a full cache is emptied.
+cut. Both caches are bounded: a full cache is emptied. The pattern is that of the public
+byte-level vocabularies, in which runs of letters, of numbers and of other marks stand
+apart.
 """
 
 from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Callable
+import types
+from collections.abc import Callable, Hashable
 
 import regex
 from pyspark import cloudpickle
@@ -21,6 +24,19 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _CROSSING = re.compile(r"\s (?:\s|\Z)")
 
 
+#: Marks that the pattern keeps apart from letters before them.
+_MARKS = frozenset(".,;:!?")
+
+
+def worker_local(key: Hashable, make: Callable[[], object]) -> object:
+    """``make()``, kept for later tasks of this Python worker. Only the last key's is kept."""
+    kept = sys.modules.setdefault("_clickloom_worker", types.ModuleType("_clickloom_worker"))
+    if getattr(kept, "key", None) != key:
+        kept.value = make()
+        kept.key = key
+    return kept.value
+
+
 class _Cache(dict):
     def __init__(self, make: Callable[[str], bytes], entries: int, longest: int = 64):
         super().__init__()
@@ -38,13 +54,22 @@ class _Cache(dict):
 class CachedIds:
     """Ids of a text as little-endian unsigned 32-bit integers, by any encoder of pre-tokens."""
 
-    def __init__(self, encode: Callable[[str], list[int]], pattern: str, entries: int = 500_000):
+    def __init__(self, encode: Callable[[str], list[int]], pattern: str, entries: int = 700_000):
         split = regex.compile(pattern).findall
         pre = _Cache(
-            lambda p: b"".join(i.to_bytes(4, "little") for i in encode(p)), entries
+            lambda p: b"".join([i.to_bytes(4, "little") for i in encode(p)]), entries
         ).__getitem__
+
+        def word(word: str) -> bytes:
+            # letters, and letters with one mark behind them, need no search
+            if word.isalpha():
+                return pre(" " + word)
+            if word[-1:] in _MARKS and word[:-1].isalpha():
+                return pre(" " + word[:-1]) + pre(word[-1])
+            return self._whole(" " + word)
+
         self._whole = lambda text: b"".join(map(pre, split(text)))
-        self._word = _Cache(lambda word: self._whole(" " + word), entries).__getitem__
+        self._word = _Cache(word, entries).__getitem__
 
     def __call__(self, text: str) -> bytes:
         if _CROSSING.search(text):
