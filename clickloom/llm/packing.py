@@ -30,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SENTENCE_CUT, INNER_CUT, ANY_WINDOW = 2.0, 24.0, 4.0
 #: Distance of the cuts allowed inside a long sentence.
 INNER_STEP = 64
+#: Shortest unpadded window before a block's last ones.
+SHORTEST = 32
 #: Tokens that are laid out together. Bounds a task's memory; costs one short window each.
 BLOCK_TOKENS = 1 << 22
 
@@ -68,12 +70,19 @@ def cut_positions(
 def best_cuts(positions: np.ndarray, cost: np.ndarray, window: int) -> list[int]:
     """Indices of the positions that end a window, at least cost, ascending from 0's."""
     m = len(positions)
-    exact: list[list[int]] = [[] for _ in range(m)]
+    # (position, where a window of a power of two before it starts); short ones only near
+    # the end, where they split the rest
+    ends, starts = [], []
     for k in range(window.bit_length()):
-        wanted = positions - (1 << k)
+        late = 0 if 1 << k >= SHORTEST else int(np.searchsorted(positions, positions[-1] - window))
+        wanted = positions[late:] - (1 << k)
         at = np.searchsorted(positions, wanted)
-        for j in np.flatnonzero(positions[at] == wanted).tolist():
-            exact[j].append(int(at[j]))
+        hits = np.flatnonzero(positions[at] == wanted)
+        ends.append(hits + late)
+        starts.append(at[hits])
+    end, start = np.concatenate(ends), np.concatenate(starts)
+    exact = start[np.argsort(end, kind="stable")].tolist()
+    first = np.concatenate([[0], np.cumsum(np.bincount(end, minlength=m))]).tolist()
     places, costs = positions.tolist(), cost.tolist()
     best, previous = [0.0] * m, [0] * m
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])
@@ -83,7 +92,7 @@ def best_cuts(positions: np.ndarray, cost: np.ndarray, window: int) -> list[int]
             queue.popleft()
         least, source = queue[0]
         least += window - here
-        for i in exact[j]:
+        for i in exact[first[j] : first[j + 1]]:
             if best[i] < least:
                 least, source = best[i], i
         least += costs[j]
@@ -158,10 +167,12 @@ class _Packer:
     def __init__(self, spec: bytes, pattern: str, end_id: int):
         model = Tokenizer.from_buffer(spec)
         tokenize, characters = model.model.tokenize, byte_characters()
+        ascii_characters = {b: c for b, c in characters.items() if b < 128}
 
         def encode(pretoken: str) -> list[int]:
-            raw = pretoken.encode()
-            return [t.id for t in tokenize("".join(map(characters.__getitem__, raw)))]
+            if pretoken.isascii():
+                return [t.id for t in tokenize(pretoken.translate(ascii_characters))]
+            return [t.id for t in tokenize("".join(map(characters.__getitem__, pretoken.encode())))]
 
         self.encode = CachedIds(encode, pattern)
         self.sentence_end = sentence_ending(model, end_id)
