@@ -1,4 +1,4 @@
-"""Scalar look-ups in JSON text and in parsed variants."""
+"""Scalar look-ups in JSON text."""
 
 from __future__ import annotations
 
@@ -8,29 +8,33 @@ from pyspark.sql import functions as F
 _OID_PATTERN = r'"\$oid"\s*:\s*"([^"]+)"'
 
 
-def variant_text(value: Column, path: str) -> Column:
-    """What is at ``path`` as text; for an object or array that is its JSON text."""
-    return F.try_variant_get(value, path, "string")
+def element_text(value: Column, path: str) -> Column:
+    """What is at ``path`` of a JSON text, as it was sent; an object or array as JSON text."""
+    return F.get_json_object(value, path)
 
 
 def _opens_container(text: Column) -> Column:
     return text.substr(1, 1).isin("{", "[")
 
 
-def variant_scalar(value: Column, path: str) -> Column:
+def element_scalar(value: Column, path: str) -> Column:
     """The scalar at ``path`` as text; NULL if absent, null, an object or an array.
 
     Text that merely looks like a container may be a string, so for those few
-    values the variant's schema decides.
+    values the parsed document decides.
     """
-    text = variant_text(value, path)
-    schema = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
-    return F.when(_opens_container(text) & schema.rlike("^(OBJECT|ARRAY)"), None).otherwise(text)
+    text = element_text(value, path)
+    parsed = F.try_variant_get(F.try_parse_json(value), path, "variant")
+    container = F.schema_of_variant(parsed).rlike("^(OBJECT|ARRAY)")
+    return F.when(_opens_container(text) & F.coalesce(container, F.lit(True)), None).otherwise(text)
 
 
 def json_elements(text: Column) -> Column:
-    """A JSON array's elements as ``array<variant>``; NULL unless it is an array."""
-    return F.from_json(text, "array<variant>")
+    """A JSON array's elements as JSON texts; NULL unless it is an array.
+
+    Texts keep numbers as sent and an element that repeats a key.
+    """
+    return F.when(is_json_array(text), F.from_json(text, "array<string>"))
 
 
 def is_json_array(text: Column) -> Column:

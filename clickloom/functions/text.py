@@ -30,11 +30,6 @@ def non_empty(text: Column) -> Column:
     return text.isNotNull() & (text != "")
 
 
-def safe_name(name: str) -> str:
-    """A column name with everything but letters and digits turned into ``_``."""
-    return "".join(ch if ch.isalnum() else "_" for ch in name)
-
-
 @F.pandas_udf(StringType())
 def decode_entities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Decode ``&amp;`` and its kind; Spark has no expression for it."""

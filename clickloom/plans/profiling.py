@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.text import non_empty, safe_name
+from clickloom.functions.text import non_empty
 from clickloom.plans.staging import event_type
 from clickloom.sources.schemas import RAW_SCHEMAS, REQUIRED, SEMI_STRUCTURED, declared_type
 
@@ -44,7 +44,7 @@ def null_counts(df: DataFrame, table: str) -> DataFrame:
 
 
 def null_distinct_row(df: DataFrame, table: str, log2_buckets: int = 12) -> DataFrame:
-    """``null_count_<column>`` and ``distinct_count_<column>`` of all scalar columns, in one row.
+    """``n_<column>`` (NULLs) and ``d_<column>`` (distinct) of all scalar columns, in one row.
 
     A distinct sketch is one small buffer per column and merges across tasks,
     however many columns there are; 2^12 buckets give about 1.6 % error.
@@ -54,22 +54,29 @@ def null_distinct_row(df: DataFrame, table: str, log2_buckets: int = 12) -> Data
         sketch = F.hll_sketch_agg(_c(c).cast("string"), log2_buckets)
         distinct = F.coalesce(F.hll_sketch_estimate(sketch), F.lit(0))
         aggregates += [
-            F.count_if(_c(c).isNull()).alias(f"null_count_{safe_name(c)}"),
-            distinct.alias(f"distinct_count_{safe_name(c)}"),
+            F.count_if(_c(c).isNull()).alias(f"n_{c}"),
+            distinct.alias(f"d_{c}"),
         ]
     return df.agg(*aggregates)
 
 
 def null_and_approx_distinct(df: DataFrame, table: str) -> DataFrame:
     """NULLs and estimated distinct values, a row per scalar column, from one scan."""
-    entries = {
-        c: [_c(f"null_count_{safe_name(c)}"), _c(f"distinct_count_{safe_name(c)}")]
-        for c in scalar_columns(table)
-    }
+    entries = {c: [_c(f"n_{c}"), _c(f"d_{c}")] for c in scalar_columns(table)}
     row = null_distinct_row(df, table)
     return _long(row, "column", ["null_count", "approx_distinct"], entries)
 
 
+def approx_distinct_check(df: DataFrame, table: str) -> DataFrame:
+    """NULLs per column, and whether the estimate lies within four standard errors of the exact count."""
+    estimate = null_and_approx_distinct(df, table)
+    off = F.abs(F.col("approx_distinct") - F.col("distinct_count"))
+    bound = F.greatest(F.lit(2.0), 4 * 0.0163 * F.col("distinct_count"))
+    return estimate.join(exact_distinct(df, table), "column").select(
+        "column", "null_count", (off <= bound).alias("within_bound")
+    )
+
+
 def exact_distinct(df: DataFrame, table: str) -> DataFrame:
     """Exact distinct values per scalar column.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.jsontext import json_elements, object_id, variant_scalar, variant_text
+from clickloom.functions.jsontext import element_scalar, element_text, json_elements, object_id
 from clickloom.functions.numbers import inside, safe_divide, safe_integer, safe_numeric
 from clickloom.functions.temporal import epoch_date, epoch_timestamp
 from clickloom.operators.latest import latest_per_key
@@ -129,10 +129,10 @@ def cart_lines(checkouts: DataFrame) -> DataFrame:
         F.posexplode(json_elements(F.col("cart_products"))).alias("position", "line"),
     )
     line = F.col("line")
-    ids = [variant_scalar(line, f"$.{name}") for name in PRODUCT_FIELDS]
+    ids = [element_scalar(line, f"$.{name}") for name in PRODUCT_FIELDS]
     # a nested object's text is no number, so it needs no scalar test here
-    amounts = [safe_numeric(variant_text(line, f"$.{name}")) for name in AMOUNT_FIELDS]
-    quantities = [safe_integer(variant_text(line, f"$.{name}")) for name in QUANTITY_FIELDS]
+    amounts = [safe_numeric(element_text(line, f"$.{name}")) for name in AMOUNT_FIELDS]
+    quantities = [safe_integer(element_text(line, f"$.{name}")) for name in QUANTITY_FIELDS]
     number = (F.col("position") + 1).cast("bigint")
     return elements.select(
         _line_id(number).alias("line_item_id"),

@@ -13,6 +13,7 @@ from clickloom.operators.keys import with_dense_key
 from clickloom.plans import bi, checks, collection, diagnostics, mart, profiling, staging
 from clickloom.session import tune
 from clickloom.sources import lake, routing, schemas
+from clickloom.sources.listing import list_objects
 from clickloom.sources.loader import Warehouse
 from clickloom.streaming.arrivals import ingest_available
 from clickloom.workspace import new_path
@@ -137,7 +138,7 @@ def q_route_objects(d: Domain) -> DataFrame:
 @query
 def q_load_ids(d: Domain) -> DataFrame:
     manifest = d.derived("manifest")
-    return routing.with_load_ids(manifest, "p06/manual load").select("object_no", "load_key", "load_id")
+    return routing.with_load_ids(manifest, "shop/manual load").select("object_no", "load_key", "load_id")
 
 
 @query
@@ -151,7 +152,7 @@ def q_pending_loads(d: Domain) -> DataFrame:
 @query
 def q_backfill_plan(d: Domain) -> DataFrame:
     plan = routing.backfill_plan(d.derived("manifest"), ingest_date="2024-02-17")
-    return plan.select("table", "bucket", "name", "source_format", "write_mode", "load_id")
+    return plan.select("table", "bucket", "name", "write_mode", "load_id")
 
 
 @query
@@ -193,6 +194,23 @@ def q_stream_file_ingest(d: Domain) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def q_snapshot_rollback(d: Domain) -> DataFrame:
+    """The last load of a snapshot counts: here a backfill of the older date."""
+    root = new_path(d.spark, "lake")
+    raw = f"{root}/{routing.LAKE_PREFIX}"
+    second = d.ip_locations.where("ip < '5'").withColumn("city", F.lit("elsewhere"))
+    lake.repack_reference(d.ip_locations, "ip_locations", raw, "2024-03-01", "errorifexists")
+    lake.repack_reference(second, "ip_locations", raw, "2024-03-09", "errorifexists")
+    warehouse = Warehouse(d.spark, new_path(d.spark, "warehouse"))
+    routed = routing.routed_objects(list_objects(d.spark, root), any_file=True)
+    warehouse.load(routed.where("ingest_date = '2024-03-09'"))
+    warehouse.load(routed.where("ingest_date = '2024-03-01'"))
+    first = F.when(F.col("ingest_date") == "2024-03-01", "first").otherwise("second")
+    table = warehouse.table("ip_locations").withColumn("snapshot", first)
+    return table.groupBy("snapshot", "country_short").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 # -- collection ---------------------------------------------------------------------
 
 
@@ -504,7 +522,7 @@ def q_profile_distinct(d: Domain) -> DataFrame:
 
 @query
 def q_profile_approx_distinct(d: Domain) -> DataFrame:
-    return d.per_table(profiling.null_and_approx_distinct)
+    return d.per_table(profiling.approx_distinct_check)
 
 
 @query

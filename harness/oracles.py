@@ -223,15 +223,15 @@ PARTS |= {
     "ips": "select distinct ip from raw_ev where ip <> ''",
     "routed": f"""
         select *,
-          case when name similar to 'raw/p06/events/ingest_date=[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}/events_part-[0-9]+[.]ndjson[.]gz' then 'events'
-               when name similar to 'raw/p06/ip_locations/ingest_date=[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}/ip_locations[.]csv[.]gz' then 'ip_locations'
-               when name similar to 'raw/p06/products/ingest_date=[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}/products[.]csv[.]gz' then 'products'
+          case when name similar to 'raw/shop/events/ingest_date=[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}/events_part-[0-9]+[.]ndjson[.]gz' then 'events'
+               when name similar to 'raw/shop/ip_locations/ingest_date=[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}/ip_locations[.]csv[.]gz' then 'ip_locations'
+               when name similar to 'raw/shop/products/ingest_date=[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}/products[.]csv[.]gz' then 'products'
           end as target,
           substr(sha1(bucket || '/' || name || '@' || coalesce(cast(generation as varchar), '0')), 1, 32) as load_key
         from manifest""",
 }
 
-_LOADED = "'p06_load_' || load_key as load_id"
+_LOADED = "'shop_load_' || load_key as load_id"
 
 
 def _line_columns(table: str, unit_price: bool) -> str:
@@ -365,13 +365,10 @@ FINAL: dict[str, str] = {
     "cast(updated_at as varchar) as updated_at from raw_products",
     "q_route_objects": """
         select bucket, name, generation, object_no, target as "table",
-          case target when 'events' then 'json' when 'ip_locations' then 'csv' when 'products' then 'csv' end as source_format,
           case target when 'events' then 'append' when 'ip_locations' then 'overwrite' when 'products' then 'overwrite' end as write_mode,
-          case target when 'events' then 0 when 'ip_locations' then 1 when 'products' then 1 end as skip_rows,
-          target = 'events' as ignore_unknown, target = 'events' as allow_additions,
           nullif(regexp_extract(name, '/ingest_date=([0-9]{4}-[0-9]{2}-[0-9]{2})/', 1), '') as ingest_date
         from routed""",
-    "q_load_ids": "select object_no, load_key, 'p06_manual_load_' || load_key as load_id from routed",
+    "q_load_ids": "select object_no, load_key, 'shop_manual_load_' || load_key as load_id from routed",
     "q_pending_loads": f"""
         select target as "table", bucket, name, substr(split_part(name, 'ingest_date=', 2), 1, 10) as ingest_date,
           {_LOADED}, if(target = 'events', 'append', 'overwrite') as write_mode
@@ -379,7 +376,7 @@ FINAL: dict[str, str] = {
           and load_key not in (select load_key from routed where object_no % 3 = 0)
         qualify row_number() over (partition by load_key) = 1""",
     "q_backfill_plan": f"""
-        select target as "table", bucket, name, if(target = 'events', 'json', 'csv') as source_format,
+        select target as "table", bucket, name,
           if(target = 'events', 'append', 'overwrite') as write_mode, {_LOADED}
         from routed where target is not null and name like '%/ingest_date=2024-02-17/%'""",
     "q_schema_additions": """
@@ -387,6 +384,9 @@ FINAL: dict[str, str] = {
         from (select collection, null as campaign, cat_id from raw_ev
               union all select collection, 'c-' || cat_id, null from raw_ev) as whole
         group by collection, campaign""",
+    "q_snapshot_rollback": """
+        select 'first' as snapshot, country_short, count(*) as row_count
+        from raw_ip_locations group by country_short""",
     "q_stream_file_ingest": """
         select 'events' as table_name, '2024-03-01' as ingest_date,
           coalesce(event_name, collection) as kind, count(*) as row_count from raw_ev group by 3
@@ -552,6 +552,10 @@ FINAL: dict[str, str] = {
         lambda source, t, c: f"select '{t}' as table_name, '{c}' as \"column\", "
         f"count(*) - count({c}) as null_count from {source}"
     ),
+    "q_profile_approx_distinct": _per_table(
+        lambda source, t, c: f"select '{t}' as table_name, '{c}' as \"column\", "
+        f"count(*) - count({c}) as null_count, true as within_bound from {source}"
+    ),
     "q_profile_distinct": _per_table(
         lambda source, t, c: f"select '{t}' as table_name, '{c}' as \"column\", "
         f"count(distinct {c}) as distinct_count from {source}"

@@ -46,11 +46,14 @@ case
   when k % 10 = 2 then null
   else '[{'
     || case when p % 50 = 7 then '"product_id":{"v":1},"id":"' || @s(p) || '",'
+            when p % 50 = 9 then '"product_id":123456789012345678901234567890' || @s(p) || ','
+            when p % 50 = 11 then '"id":"x' || @s(p) || '","id":"' || @s(p) || '","product_id":"' || @s(p) || '",'
             when p % 3 = 0 then '"product_id":"' || @s(p) || '",'
             when p % 3 = 1 then '"productId":' || @s(p) || ','
             else '"product_id":null,"id":"' || @s(p) || '",' end
     || case when s % 41 = 0 then '"qty":0,'
             when s % 5 = 0 then '"qty":' || @s(q) || ','
+            when s % 7 = 1 then '"qty":2.0,"quantity":' || @s(q) || ','
             when s % 5 = 1 then '"quantity":"' || @s(q) || '",'
             when s % 5 = 2 then '"order_qty":' || @s(q) || ','
             when s % 5 = 3 then ''
@@ -118,8 +121,8 @@ from (
     @days(o_orderdate) * 86400 + (l_orderkey * 7 + l_partkey) % 86400 as t,
     substr(md5(@s(l_orderkey) || '/' || @s(l_linenumber) || '/' || @s(l_partkey) || '/'
       || @s(l_suppkey) || '/' || @s(o_custkey) || '/' || cast(cast(l_extendedprice as decimal(18,2)) as string)), 1, 24) as oid
-  from (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice from lineitem) as l
-    join (select distinct o_orderkey, o_custkey, o_orderdate from orders) as o on l_orderkey = o_orderkey
+  from lineitem as l
+    join orders as o on l_orderkey = o_orderkey
 ) as lines
 """
 
@@ -231,7 +234,7 @@ _MANIFEST = """
 select
   'lake-' || @s(o_custkey % 3) as bucket,
   case when o_orderkey % 11 = 0 then 'other/'
-       else 'raw/p06/' end
+       else 'raw/shop/' end
     || case o_orderkey % 5 when 0 then 'ip_locations' when 1 then 'products' else 'events' end
     || '/ingest_date=2024-0' || @s(1 + o_orderkey % 3) || '-1' || @s(o_orderkey % 10)
     || case when o_orderkey % 23 = 0 then '-smoke' else '' end || '/'
