@@ -30,7 +30,9 @@ COUNT_BITS, LINE_BITS = 20, 23
 #: Bytes of text that are hashed at once in a task.
 CHUNK = 1 << 18
 #: Earlier candidates of a line and token that go to the first verification.
-FIRST_WITNESSES = 4
+FIRST_WITNESSES = 6
+#: The bitmaps tell little about lines of so many words; more of their candidates go there.
+LONG_LINE, LONG_WITNESSES = 200, 64
 #: Lines of a token that are compared with one another at once.
 BLOCK = 512
 
@@ -127,10 +129,12 @@ def _count_tokens(batches):
 def rarity(docs: DataFrame) -> np.ndarray:
     """How often the tokens of each hash bucket occur in all documents, as a rank class.
 
-    At most 2 ** ``COUNT_BITS`` sums come to the driver.
+    At most 2 ** ``COUNT_BITS`` sums come to the driver, and as many from a task, so there
+    are but a few tasks for each core.
     """
     sums = (
-        docs.mapInArrow(_count_tokens, "bucket int, n long").groupBy("bucket").agg(F.sum("n"))
+        docs.coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism)
+        .mapInArrow(_count_tokens, "bucket int, n long").groupBy("bucket").agg(F.sum("n"))
     ).toArrow()
     counts = np.zeros(1 << COUNT_BITS, np.float64)
     counts[sums.column(0).to_numpy()] = sums.column(1).to_numpy()
@@ -219,6 +223,13 @@ def _similar(n_a, n_b, differing, threshold: float):
 _CANDIDATES = "doc_id long, line int, other_id long, other_line int, more boolean"
 
 
+def _limits(n: np.ndarray, most: int | None) -> np.ndarray:
+    """How many witnesses each line asks for at first."""
+    if most is None:
+        return np.full(len(n), 1 << 60)
+    return np.where(n >= LONG_LINE, max(most, LONG_WITNESSES), most)
+
+
 def _candidates(threshold: float, most: int | None):
     """Earlier lines that may be similar, from rows sorted by token and place.
 
@@ -233,7 +244,7 @@ def _candidates(threshold: float, most: int | None):
             b1 = min(size, b0 + BLOCK)
             found = np.zeros(b1 - b0, np.int64)
             mine = b0 + np.flatnonzero(asks[b0:b1])
-            found = found[: len(mine)]
+            found, limit = found[: len(mine)], _limits(n[mine], most)
             if not len(mine):
                 continue
             for a0 in range(0, b1, BLOCK):
@@ -250,16 +261,14 @@ def _candidates(threshold: float, most: int | None):
                     np.bitwise_count(p[theirs][None, :] ^ p[mine][:, None]) for p in parity
                 )
                 ok &= _similar(na, nb, differing, threshold)
-                if most is not None:
-                    ok &= (found < most)[:, None]
+                ok &= (found < limit)[:, None]
                 i, j = np.nonzero(ok)
                 if len(i):
                     run = np.arange(len(i)) - np.searchsorted(i, i)
                     place = run + found[i]
-                    keep = np.ones(len(i), bool) if most is None else place < most
+                    keep = place < limit[i]
                     more = np.zeros(len(mine), bool)
-                    if most is not None:
-                        more[i[place >= most - 1]] = True
+                    more[i[place >= limit[i] - 1]] = True
                     found += np.bincount(i, minlength=len(mine))
                     b, a = mine[i[keep]], a0 + j[keep]
                     yield ids[b], lines[b], ids[a], lines[a], more[i[keep]]
@@ -307,13 +316,11 @@ def _small(columns, edges, sizes, chosen, threshold: float, most: int | None):
     size = sizes[chosen]
     first = np.repeat(edges[chosen], size)
     at = first + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    found = np.zeros(len(at), np.int64)
+    found, limit = np.zeros(len(at), np.int64), _limits(n[at], most)
     out = [[] for _ in range(5)]
     for k in range(int(size.max()) - 1):
         a, b = first + k, at
-        use = np.flatnonzero((a < b) & asks[b])
-        if most is not None:
-            use = use[found[use] < most]
+        use = np.flatnonzero((a < b) & asks[b] & (found < limit))
         a, b = a[use], b[use]
         na, nb = n[a], n[b]
         total = na + nb
@@ -326,7 +333,7 @@ def _small(columns, edges, sizes, chosen, threshold: float, most: int | None):
         found[use] += 1
         for o, part in zip(out, (ids[b], lines[b], ids[a], lines[a]), strict=False):
             o.append(part)
-        out[4].append(np.zeros(len(a), bool) if most is None else found[use] >= most)
+        out[4].append(found[use] >= limit[use])
     if sum(map(len, out[0])):
         yield _batch(out)
 
@@ -337,8 +344,19 @@ def _batch(out) -> pa.RecordBatch:
     )
 
 
-def _words(line: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(line, r"[\x20\x09-\x0D]+"), ""))
+def _verify(threshold: float):
+    """Places of lines whose words reach the similarity with the other line's."""
+
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(k) for k in (2, 3)]
+            keep = []
+            for one, other in zip(*columns, strict=True):
+                a, b = (set(x.as_py().encode().split()) for x in (one, other))
+                keep.append(len(a & b) * (1 + threshold) >= threshold * (len(a) + len(b)) - 1e-9)
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return run
 
 
 def _among(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
@@ -384,12 +402,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     return (
         pairs.join(texts, _PLACE)
         .join(other, _OTHER)
-        .select(*_PLACE, _words(F.col("content")).alias("a"), _words(F.col("other")).alias("b"))
-        .filter(
-            F.size(F.array_intersect("a", "b")) * (1 + threshold)
-            >= threshold * (F.size("a") + F.size("b")) - 1e-9
-        )
-        .select(*_PLACE)
+        .select(*_PLACE, "content", "other")
+        .mapInArrow(_verify(threshold), "doc_id long, line int")
         .distinct()
     )
 
