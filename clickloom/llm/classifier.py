@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -102,20 +103,23 @@ class Model:
         return float(sum(above)), float(above[tail - 1])
 
 
-def fit(rows: list[set[int]], grades: list[int], steps: int = 120, penalty: float = 2e-4) -> Model:
-    """Maximum penalised likelihood by full-batch gradient steps (Adam), from zero: repeatable."""
-    if len(set(grades)) < 2:
-        return Model({}, [], constant=grades[0] if grades else 10**6)
-    top, n = max(grades), len(rows)
-    lengths = np.array([len(r) for r in rows])
-    flat = np.fromiter((b for r in rows for b in sorted(r)), np.int64, lengths.sum())
-    doc = np.repeat(np.arange(n), lengths)
-    kept, index, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    active = counts >= MIN_DOCUMENTS
-    place = np.cumsum(active) - 1
-    use = active[index]
-    column, doc, buckets = place[index][use], doc[use], kept[active]
-    y = np.array(grades)
+def fit(
+    flat: np.ndarray, lengths: np.ndarray, y: np.ndarray, steps: int = 120, penalty: float = 2e-4
+) -> Model:
+    """Maximum penalised likelihood by full-batch gradient steps (Adam), from zero: repeatable.
+
+    ``flat``: the documents' buckets one after the other, ``lengths`` of each; ``y``: grades.
+    """
+    if len(np.unique(y)) < 2:
+        return Model({}, [], constant=int(y[0]) if len(y) else 10**6)
+    top, n = int(y.max()), len(y)
+    counts = np.bincount(flat, minlength=BUCKETS)
+    buckets = np.flatnonzero(counts >= MIN_DOCUMENTS)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[buckets] = np.arange(len(buckets))
+    column = place[flat]
+    doc = np.repeat(np.arange(n, dtype=np.int32), lengths)[column >= 0]
+    column = column[column >= 0]
     share = np.cumsum(np.bincount(y, minlength=top + 1))[:-1] / n
     first = np.log(np.clip(share, 1e-3, 1 - 1e-3) / (1 - np.clip(share, 1e-3, 1 - 1e-3)))
     w = np.zeros(len(buckets))
@@ -184,9 +188,11 @@ def train(
         map_rows(schema, rows), "doc_id long, grade int, features array<int>"
     )
     # in one order, whatever the tasks' order, so that the fit repeats bit by bit
-    table = found.toArrow().to_pylist()
-    table.sort(key=lambda r: (r["doc_id"], r["grade"], r["features"]))
-    return fit([set(r["features"]) for r in table], [r["grade"] for r in table])
+    table = found.toArrow()
+    table = table.append_column("n", pc.list_value_length(table["features"])).combine_chunks()
+    table = table.sort_by([(c, "ascending") for c in ("doc_id", "grade", "n")])
+    flat = pc.list_flatten(table["features"]).to_numpy()
+    return fit(flat, table["n"].to_numpy(), table["grade"].to_numpy())
 
 
 def grades_of_labels(labels: DataFrame) -> DataFrame:
