@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import map_rows, whole_text
+from clickloom.llm.pretokens import release_worker
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -30,7 +31,7 @@ BUCKETS = 1 << 22
 #: A feature counts if so many of the sampled documents have it.
 MIN_DOCUMENTS = 5
 #: Entries of a task's caches; a full cache is emptied.
-CACHE = 400_000
+CACHE = 250_000
 
 
 def _bucket(feature: str) -> int:
@@ -253,6 +254,7 @@ def select_documents(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches):
+        release_worker()
         features, fitted = Features(), shared.value
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import whole_text
+from clickloom.llm.pretokens import release_worker
 from clickloom.workspace import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -107,6 +108,7 @@ def _joined(rows) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count_tokens(batches):
+    release_worker()
     counts = np.zeros(1 << COUNT_BITS, np.int64)
     held = []
     for batch in batches:

@@ -37,6 +37,11 @@ def worker_local(key: Hashable, make: Callable[[], object]) -> object:
     return kept.value
 
 
+def release_worker() -> None:
+    """Free what ``worker_local`` keeps, before a task that needs the memory."""
+    sys.modules.pop("_clickloom_worker", None)
+
+
 class _Cache(dict):
     def __init__(self, make: Callable[[str], bytes], entries: int, longest: int = 64):
         super().__init__()
@@ -54,7 +59,7 @@ class _Cache(dict):
 class CachedIds:
     """Ids of a text as little-endian unsigned 32-bit integers, by any encoder of pre-tokens."""
 
-    def __init__(self, encode: Callable[[str], list[int]], pattern: str, entries: int = 1_200_000):
+    def __init__(self, encode: Callable[[str], list[int]], pattern: str, entries: int = 800_000):
         split = regex.compile(pattern).findall
         pre = _Cache(
             lambda p: b"".join([i.to_bytes(4, "little") for i in encode(p)]), entries

@@ -288,9 +288,17 @@ def redact_secrets(
 
     All rows and columns stay; rows without a secret are unchanged (null texts too).
     Overlapping spans become one mark. Rows meet their spans by ``doc_id`` and a hash of
-    the text, so repeated ids with other texts don't mix.
+    the text, so repeated ids with other texts don't mix. Only rows that match some
+    pattern at all are written aside and joined; the others pass without a shuffle.
     """
     key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    suspect = F.coalesce(
+        F.rlike("text", F.lit("|".join(f"(?:{p})" for p in (ACCESS, HEX, CANDIDATE))))
+        | F.rlike("text", F.lit(ASSIGN)),
+        F.lit(False),
+    )
+    columns = [f"`{c}`" for c in docs.columns]
+    plain, docs = docs.filter(~suspect), materialise(docs.filter(suspect), "suspects")
     found = (
         _scan(docs, max_false, "doc_id", "text", key.alias("__text"))
         .filter(F.size("spans") > 0)
@@ -313,7 +321,7 @@ def redact_secrets(
                 F.length("text").cast(docs.schema["n_chars"].dataType)
             ),
         )
-    return out.select(*[f"`{c}`" for c in docs.columns])
+    return plain.unionByName(out.select(*columns))
 
 
 def _merged(spans: Column) -> Column:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import map_rows, whole_text
 from clickloom.llm.components import connected
+from clickloom.llm.pretokens import release_worker
 from clickloom.workspace import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -187,6 +188,7 @@ def simhash_groups(
         raise ValueError("distance must be 0, 1 or 2")
 
     def rows(incoming):
+        release_worker()
         for row in incoming:
             fp = fingerprint(row["text"], shingle)
             yield {"doc_id": row["doc_id"], "fp": fp - (fp >> 63 << 64)}
