@@ -33,7 +33,7 @@ INNER_STEP = 64
 #: Shortest unpadded window before a block's last ones.
 SHORTEST = 32
 #: Tokens that are laid out together. Bounds a task's memory; costs one short window each.
-BLOCK_TOKENS = 1 << 22
+BLOCK_TOKENS = 1 << 21
 
 
 def _sorted_places(total: int, *places) -> np.ndarray:

@@ -59,18 +59,20 @@ class _Cache(dict):
 class CachedIds:
     """Ids of a text as little-endian unsigned 32-bit integers, by any encoder of pre-tokens."""
 
-    def __init__(self, encode: Callable[[str], list[int]], pattern: str, entries: int = 800_000):
+    def __init__(self, encode: Callable[[str], list[int]], pattern: str, entries: int = 700_000):
         split = regex.compile(pattern).findall
-        pre = _Cache(
-            lambda p: b"".join([i.to_bytes(4, "little") for i in encode(p)]), entries
-        ).__getitem__
+
+        def pack(pretoken: str) -> bytes:
+            return b"".join([i.to_bytes(4, "little") for i in encode(pretoken)])
+
+        pre = _Cache(pack, entries // 4).__getitem__
 
         def word(word: str) -> bytes:
             # letters, and letters with one mark behind them, need no search
             if word.isalpha():
-                return pre(" " + word)
+                return pack(" " + word)
             if word[-1:] in _MARKS and word[:-1].isalpha():
-                return pre(" " + word[:-1]) + pre(word[-1])
+                return self._word(word[:-1]) + pre(word[-1])
             return self._whole(" " + word)
 
         self._whole = lambda text: b"".join(map(pre, split(text)))
