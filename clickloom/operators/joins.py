@@ -5,28 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
+#: A key with more rows than this is too much for one task; at most 1 / HOT_SHARE keys are salted.
 HOT_ROWS = 1_000_000
+HOT_SHARE = 0.00001
 SALTS = 64
 
 
 def hot_keys(
     df: DataFrame, keys: list[str], share: float | None = None, min_rows: int | None = None
 ) -> DataFrame | None:
-    """Keys holding more than ``share`` of the rows (and ``min_rows``), or None.
+    """The keys with more than ``min_rows`` rows, or None.
 
-    At most ``1 / share`` keys can qualify, so the list fits the driver and a
-    broadcast whatever the table's size. The defaults are ``HOT_SHARE`` and
-    ``HOT_ROWS``.
+    The limit is what one task can take, whatever the table's size. Of more than
+    ``1 / share`` such keys the most frequent are kept: each key with more than
+    ``share`` of all rows is among them, and the list fits the driver and a broadcast.
+    The others are joined all the same, but unsalted. The defaults are ``HOT_SHARE``
+    and ``HOT_ROWS``.
     """
     share = HOT_SHARE if share is None else share
     min_rows = HOT_ROWS if min_rows is None else min_rows
-    total = df.count()
-    limit = max(int(total * share), min_rows)
-    if total <= limit:
-        return None
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows = counted.where(F.col("_n") > limit).select(*keys).collect()
+    most = counted.where(F.col("_n") > min_rows).orderBy(F.desc("_n")).limit(round(1 / share))
+    rows = most.select(*keys).collect()
     if not rows:
         return None
     return df.sparkSession.createDataFrame(rows, df.select(*keys).schema)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.operators.joins import lookup_join
 from clickloom.workspace import materialise
 
 
@@ -13,57 +14,77 @@ def locate_in_ranges(
 ) -> DataFrame:
     """Left look-up: each point with the columns of the range that contains it.
 
-    Both sides are put on one axis and range-partitioned, so work follows the
-    data and neither wide ranges nor dense address blocks make a hot bucket.
-    Within a partition the nearest range start at or before a point is carried
+    The distinct points and the ranges are put on one axis and range-partitioned, so
+    work follows the data and neither wide ranges nor dense address blocks make a hot
+    bucket. Within a partition the nearest range start at or before a point is carried
     forward; where a partition has none yet, it comes from the partitions before
-    (one row per partition). A point matches if that range has not ended.
+    (one row per partition). A point matches if that range has not ended. The points'
+    rows then meet their distinct values in a look-up that spreads frequent ones.
 
-    Ranges must not overlap, as in an address database. No pair of point and
-    range is ever formed beyond the one that is kept. NULL points match nothing.
+    Both ends are inclusive. Ranges without an end or a start, and those that end
+    before they start, hold no point. Two ranges with a point in common raise
+    ``ValueError``, copies of a range included: no single answer would be right. No pair
+    of point and range is ever formed beyond the one that is kept. NULL points match
+    nothing.
     """
+    rows = materialise(points, "range-points").withColumn("_row", F.monotonically_increasing_id())
     payload = F.struct(*[F.col(f"`{c}`") for c in ranges.columns])
-    starts = ranges.select(
-        F.col(low).alias("_pos"), F.lit(0).alias("_kind"), payload.alias("_range")
+    starts = ranges.where(F.col(low) <= F.col(high)).select(
+        F.col(low).alias("_pos"), F.lit(0).alias("_kind"), F.col(high).alias("_high"), payload.alias("_range")
     )
-    where = points.select(
-        F.col(point).alias("_pos"), F.lit(1).alias("_kind"), F.struct(*points.columns).alias("_point")
+    values = (
+        rows.select(F.col(point).alias("_pos"))
+        .where("_pos IS NOT NULL")
+        .distinct()
+        .withColumn("_kind", F.lit(1))
     )
-    spread = F.xxhash64("_range", "_point")
     axis = (
-        starts.unionByName(where, allowMissingColumns=True)
-        .withColumn("_spread", F.when(F.col("_kind") == 1, spread).otherwise(F.lit(0)))
-        .repartitionByRange("_pos", "_kind", "_spread")
+        starts.unionByName(values, allowMissingColumns=True)
+        .repartitionByRange("_pos", "_kind")
         .sortWithinPartitions("_pos", "_kind")
-        .drop("_spread")
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", 33))
     )
     written = materialise(axis, "range-axis")
 
-    # one row per partition: the last range that starts in the partitions before it
-    last_start = (
-        written.where("_kind = 0").groupBy("_part").agg(F.max_by("_range", "_place").alias("_last"))
+    # one row per partition: the last range that starts in the partitions before it,
+    # and the furthest end of all that do
+    start_place = F.when(F.col("_kind") == 0, F.col("_place"))
+    parts = written.groupBy("_part").agg(
+        F.max_by("_range", start_place).alias("_last"), F.max("_high").alias("_end")
     )
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        written.select("_part")
-        .distinct()
-        .join(last_start, "_part", "left")
-        .select("_part", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    carried = materialise(
+        parts.select(
+            "_part",
+            F.last("_last", ignorenulls=True).over(earlier).alias("_carried"),
+            F.max("_end").over(earlier).alias("_reach"),
+        ),
+        "range-carried",
     )
-    so_far = (
-        Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    in_order = Window.partitionBy("_part").orderBy("_place")
+
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    overlapping = (
+        written.where("_kind = 0")
+        .withColumn("_so_far", F.max("_high").over(before))
+        .join(F.broadcast(carried), "_part")
+        .where(F.col("_pos") <= F.greatest("_so_far", "_reach"))
+        .select("_pos")
+        .first()
     )
+    if overlapping is not None:
+        raise ValueError(f"ranges overlap at {overlapping[0]!r}")
+
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     nearest = (
         written.withColumn("_here", F.last("_range", ignorenulls=True).over(so_far))
         .where("_kind = 1")
         .join(F.broadcast(carried), "_part")
         .withColumn("_near", F.coalesce("_here", "_carried"))
     )
-    # a range without a start sorts first and must not catch anything
-    inside = F.col(f"_near.{low}").isNotNull() & (F.col("_pos") <= F.col(f"_near.{high}"))
-    hit = F.when(inside, F.col("_near"))
-    return nearest.select("_point.*", hit.alias("_hit")).select(
+    hit = F.when(F.col("_pos") <= F.col(f"_near.{high}"), F.col("_near"))
+    located = nearest.where(hit.isNotNull()).select(F.col("_pos").alias(point), hit.alias("_hit"))
+    return lookup_join(rows, located, [point], "left", "_row").select(
         *points.columns, *[F.col(f"_hit.{c}").alias(c) for c in ranges.columns]
     )

@@ -112,6 +112,40 @@ def test_range_wider_than_a_partition(spark):
     assert got.where("tag = 'all'").count() == 5000
 
 
+def test_overlapping_ranges_are_refused(spark, small_scans):
+    points = spark.createDataFrame([("105",), ("200",)], "p string")
+    lone = [(f"{k:04d}", f"{k:04d}", k) for k in range(2000, 2400)]
+    for spans in ([("000", "999", 1), ("100", "110", 2)], [("100", "110", 1), ("100", "110", 1)], [("0000", "9999", 1), *lone]):
+        ranges = spark.createDataFrame(spans, "low string, high string, tag int")
+        with pytest.raises(ValueError, match="overlap"):
+            locate_in_ranges(points, "p", ranges, "low", "high")
+
+
+def test_range_points_may_repeat_or_be_missing(spark):
+    ranges = spark.createDataFrame(
+        [("100", "199", "a"), ("300", None, "b"), ("500", "400", "c")], "low string, high string, tag string"
+    )
+    points = spark.createDataFrame([("150", 1), ("150", 2), ("350", 3), ("450", 4), (None, 5)], "p string, v int")
+    got = locate_in_ranges(points, "p", ranges, "low", "high").select("v", "tag").orderBy("v").collect()
+    assert [(r.v, r.tag) for r in got] == [(1, "a"), (2, "a"), (3, None), (4, None), (5, None)]
+    assert locate_in_ranges(points, "p", ranges.limit(0), "low", "high").where("tag IS NULL").count() == 5
+    assert locate_in_ranges(points.limit(0), "p", ranges, "low", "high").count() == 0
+
+
+def test_repeated_points_meet_ranges_once(spark, small_scans):
+    """A third of the points are copies of one: the axis holds it once, its rows are salted."""
+    points = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("p"), F.lit("x").alias("v")
+    )
+    ranges = spark.range(200).select((F.col("id") * 100).alias("low"), (F.col("id") * 100 + 99).alias("high"))
+    rows = materialise(points, "points").withColumn("_row", F.monotonically_increasing_id())
+    looked = lookup_join(rows, ranges.withColumn("p", F.col("low")), ["p"], "left", "_row", min_rows=1000)
+    assert "_salt" in plan_of(looked)
+    got = locate_in_ranges(points, "p", ranges, "low", "high")
+    assert got.count() == 20_000
+    assert got.where("p < low OR p > high OR low IS NULL").count() == 0
+
+
 def test_upsert_keeps_last_write_and_is_repeatable(spark):
     old = spark.createDataFrame([("a", 1, "old"), ("b", 1, "old")], "k string, t int, v string")
     new = spark.createDataFrame([("b", 2, "mid"), ("b", 3, "new"), ("c", 1, "new")], "k string, t int, v string")
