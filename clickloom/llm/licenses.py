@@ -84,6 +84,15 @@ def _shingles(words: str, start: str, count: str) -> Column:
     )
 
 
+def _first_held() -> Column:
+    """Where in the text (from 0) the window's first shingle of the template starts."""
+    return F.expr(
+        f"first + array_position(transform(sequence(int(first) + 1,"
+        f" least(int(first) + 2 * t, size(w) - {SHINGLE - 1})),"
+        f" i -> array_contains(shingles, array_join(slice(w, i, {SHINGLE}), ' '))), true) - 1"
+    )
+
+
 def find_licenses(
     docs: DataFrame,
     templates: DataFrame | None = None,
@@ -97,7 +106,7 @@ def find_licenses(
     ``MOST_TEMPLATES`` rows; those of fewer than five words can't be looked for and are
     left out. ``containment``: the best share of a template's distinct shingles in one
     window, at least ``min_containment``; ``n_windows``: windows that reach it, over the
-    license's templates. Where notices of several licenses lie within ten words of each
+    license's templates. Where notices of several licenses start within ten words of each
     other, only those with the best containment count. DataFrame functions only; texts are read once, and only
     matches are shuffled.
 
@@ -170,6 +179,7 @@ def find_licenses(
             F.size(F.array_intersect("held", "shingles")) / F.size("shingles"),
         )
         .filter(F.col("containment") >= min_containment)
+        .withColumn("place", _first_held())
     )
     # a notice may hold most of another license's: of what lies close together the best stays
     close = Window.partitionBy("row").orderBy("place").rangeBetween(-2 * SHINGLE, 2 * SHINGLE)

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm import oracles
 from clickloom.llm.bpe import encode_documents
 from clickloom.llm.classifier import grades_of_labels, judge_documents, train
 from clickloom.llm.licenses import find_licenses
@@ -91,4 +92,8 @@ QUERIES = {
 }
 
 #: SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_license_scan": oracles.OP2_LICENSE_SCAN,
+    "op5_line_dedup": oracles.OP5_LINE_DEDUP,
+    "op6_exact_top_k": oracles.OP6_EXACT_TOP_K,
+}
