@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -230,9 +232,28 @@ def fact_sales(sales: DataFrame) -> DataFrame:
     return keyed.drop("_place_hash")
 
 
+def by_month(fact: DataFrame) -> DataFrame:
+    """The fact laid out for reports: with its ``sales_month``, in ranges of days.
+
+    Ranges are by day, then line, so a month of any size is split evenly and most
+    files hold one month.
+    """
+    dated = fact.withColumn("sales_month", F.expr("date_key div 100").cast("int"))
+    return dated.repartitionByRange("date_key", "sales_order_line_key")
+
+
+def between_days(fact: DataFrame, first_day: date | str | None, last_day: date | str | None) -> DataFrame:
+    """Fact rows of a range of days, both included; reads only the range's months."""
+    for day, keeps in ((first_day, operator.ge), (last_day, operator.le)):
+        if day is not None:
+            key = int(f"{date.fromisoformat(str(day)):%Y%m%d}")
+            fact = fact.where(keeps(F.col("date_key"), key) & keeps(F.col("sales_month"), key // 100))
+    return fact
+
+
 @dataclass(frozen=True)
 class Mart:
-    """The written tables of one build."""
+    """The written tables of one build; the fact is partitioned by ``sales_month``."""
 
     checkouts: DataFrame
     lines: DataFrame
@@ -243,10 +264,16 @@ class Mart:
     dim_location: DataFrame
     fact: DataFrame
 
-    def view(self, *columns: str) -> DataFrame:
-        """The reporting view, or some of its columns; see ``sales_performance``."""
+    def view(
+        self, *columns: str, first_day: date | str | None = None, last_day: date | str | None = None
+    ) -> DataFrame:
+        """The reporting view, or some of its columns, of all days or a range of them.
+
+        See ``sales_performance``.
+        """
+        fact = between_days(self.fact, first_day, last_day)
         return sales_performance(
-            self.fact, self.dim_date, self.dim_product, self.dim_location, list(columns)
+            fact, self.dim_date, self.dim_product, self.dim_location, list(columns)
         )
 
     def totals(self, *columns: str) -> DataFrame:
@@ -279,7 +306,8 @@ class Mart:
     def publish(self, path: str) -> None:
         """Replace the published tables; the build reads none of them."""
         for name, df in self.tables().items():
-            df.write.mode("overwrite").parquet(f"{path}/{name}")
+            months = ["sales_month"] if df is self.fact else []
+            df.write.mode("overwrite").partitionBy(*months).parquet(f"{path}/{name}")
 
     def register(self) -> None:
         """Name staging, mart and reporting view for SQL users of the session."""
@@ -308,7 +336,7 @@ def build_mart(events: DataFrame, products: DataFrame, ip_locations: DataFrame)
     product = materialise(dim_product(latest_products(products)), "dim-product")
     location = materialise(dim_location(checkouts, ips), "dim-location")
     sales = sales_lines(checkouts, lines, ips, product, customer, location)
-    fact = materialise(fact_sales(sales), "fact-sales")
+    fact = materialise(by_month(fact_sales(sales)), "fact-sales", "sales_month")
     return Mart(checkouts, lines, ips, days, customer, product, location, fact)
 
 

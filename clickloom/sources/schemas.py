@@ -15,37 +15,70 @@ from pyspark.sql.types import (
 )
 
 
-def _schema(*groups: tuple[type, str]) -> StructType:
-    return StructType(
-        [StructField(name, kind(), True) for kind, names in groups for name in names.split()]
-    )
-
+# Columns of the three raw tables, in the order of their exports.
 
 #: ``_id``, ``cart_products`` and ``option`` hold JSON text. ``is_paypal`` stays
 #: text because clients send words, digits and booleans.
-EVENTS = _schema(
-    (StringType, "_id"),
-    (LongType, "time_stamp"),
-    (StringType, "collection event_name app_id device_id ip country region city"),
-    (StringType, "current_url referrer_url user_agent resolution language store_id"),
-    (StringType, "user_id_db product_id viewing_product_id price currency key_search"),
-    (StringType, "is_paypal"),
-    (BooleanType, "recommendation show_recommendation"),
-    (StringType, "email_address cart_products option order_id cat_id collect_id"),
+EVENTS = StructType(
+    [
+        StructField("_id", StringType()),
+        StructField("time_stamp", LongType()),
+        StructField("collection", StringType()),
+        StructField("event_name", StringType()),
+        StructField("app_id", StringType()),
+        StructField("device_id", StringType()),
+        StructField("ip", StringType()),
+        StructField("country", StringType()),
+        StructField("region", StringType()),
+        StructField("city", StringType()),
+        StructField("current_url", StringType()),
+        StructField("referrer_url", StringType()),
+        StructField("user_agent", StringType()),
+        StructField("resolution", StringType()),
+        StructField("language", StringType()),
+        StructField("store_id", StringType()),
+        StructField("user_id_db", StringType()),
+        StructField("product_id", StringType()),
+        StructField("viewing_product_id", StringType()),
+        StructField("price", StringType()),
+        StructField("currency", StringType()),
+        StructField("key_search", StringType()),
+        StructField("is_paypal", StringType()),
+        StructField("recommendation", BooleanType()),
+        StructField("show_recommendation", BooleanType()),
+        StructField("email_address", StringType()),
+        StructField("cart_products", StringType()),
+        StructField("option", StringType()),
+        StructField("order_id", StringType()),
+        StructField("cat_id", StringType()),
+        StructField("collect_id", StringType()),
+    ]
 )
 
-IP_LOCATIONS = _schema(
-    (StringType, "ip country_short country_long region city"),
-    (DoubleType, "latitude longitude"),
-    (StringType, "zipcode timezone"),
-    (TimestampNTZType, "updated_at"),
+IP_LOCATIONS = StructType(
+    [
+        StructField("ip", StringType()),
+        StructField("country_short", StringType()),
+        StructField("country_long", StringType()),
+        StructField("region", StringType()),
+        StructField("city", StringType()),
+        StructField("latitude", DoubleType()),
+        StructField("longitude", DoubleType()),
+        StructField("zipcode", StringType()),
+        StructField("timezone", StringType()),
+        StructField("updated_at", TimestampNTZType()),
+    ]
 )
 
-PRODUCTS = _schema(
-    (StringType, "product_id product_name source_url"),
-    (LongType, "status"),
-    (StringType, "error"),
-    (TimestampNTZType, "updated_at"),
+PRODUCTS = StructType(
+    [
+        StructField("product_id", StringType()),
+        StructField("product_name", StringType()),
+        StructField("source_url", StringType()),
+        StructField("status", LongType()),
+        StructField("error", StringType()),
+        StructField("updated_at", TimestampNTZType()),
+    ]
 )
 
 RAW_SCHEMAS = {"events": EVENTS, "ip_locations": IP_LOCATIONS, "products": PRODUCTS}

@@ -38,11 +38,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return a scan of the written table."""
+def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` once and return a scan of the written table.
+
+    The columns to partition by must be the last ones.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

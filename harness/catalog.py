@@ -482,11 +482,11 @@ def q_bi_payment_breakdown(d: Domain) -> DataFrame:
 @query
 def q_bi_filtered_sales(d: Domain) -> DataFrame:
     view = d.mart.view(
-        "country_name", "full_date", "year_number", "is_paypal", "order_id", "order_qty", "sales_amount"
-    )
-    chosen = bi.filtered(
-        view, ["NATION_3", "NATION_8", "NATION_21"], "1996-02-01", "1999-10-31", "paypal"
+        *("country_name", "year_number", "is_paypal", "order_id", "order_qty", "sales_amount"),
+        first_day="1996-02-01",
+        last_day="1999-10-31",
     )
+    chosen = bi.filtered(view, ["NATION_3", "NATION_8", "NATION_21"], payment="paypal")
     return chosen.groupBy("country_name", "year_number").agg(
         bi.revenue().alias("revenue"), bi.orders().alias("order_count"), bi.units().alias("units")
     )

@@ -1,5 +1,7 @@
 """Staging and mart semantics on handwritten rows."""
 
+import os
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -192,6 +194,25 @@ def test_pruned_view_and_totals_agree_with_the_whole_view(spark):
         assert sorted(map(str, bi.revenue_by(m.totals(dimension), dimension).collect())) == sorted(map(str, whole.collect()))
 
 
+def test_range_of_days_reads_its_months_only(spark, tmp_path):
+    days = {"a": "2024-01-31", "b": "2024-02-01", "c": "2024-02-29", "d": "2024-03-01"}
+    events = [
+        checkout(name, product_id="1", order_id=name, time_stamp=int(datetime.fromisoformat(f"{day}T12:00+00:00").timestamp()))
+        for name, day in days.items()
+    ]
+    m = build(spark, [*events, checkout("undated", product_id="1", time_stamp=None)], [], [product("1")])
+    february = m.view("order_id", "full_date", first_day="2024-02-01", last_day=date(2024, 2, 29))
+    assert sorted(r.order_id for r in february.collect()) == ["b", "c"]
+    open_end = m.view("order_id", first_day="2024-02-29")
+    assert sorted(r.order_id for r in open_end.collect()) == ["c", "d"]
+    plan = february._jdf.queryExecution().executedPlan().toString()
+    filters = re.findall(r"PartitionFilters: \[([^]]*sales_month[^]]*)\]", plan)
+    assert filters and all("202402" in f for f in filters)
+    m.publish(str(tmp_path))
+    folders = {f for f in os.listdir(tmp_path / "fact_sales_order_detail") if f.startswith("sales_month")}
+    assert {"sales_month=202401", "sales_month=202402", "sales_month=202403"} < folders
+
+
 def test_reports(spark):
     cart = '[{"id":"1","qty":2,"price":10},{"id":"2","qty":1,"price":30}]'
     events = [
