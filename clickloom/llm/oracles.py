@@ -121,3 +121,83 @@ select doc_id, license, max(containment) as containment, count(*) as n_windows
 from compared where containment = best
 group by row, doc_id, license
 """
+
+
+def _levels(name: str, start: str, depth: int) -> str:
+    """WITH parts of one kind of tree: nodes of each level, then each node's siblings there."""
+    parts = [f"{name}0 as ({start})"]
+    for k in range(depth):
+        parts.append(f"""{name}_path{k} as (
+    select tree, idx, n,
+        coalesce(string_agg(digest, '') over (partition by tree, idx // 16 order by idx
+            rows between unbounded preceding and 1 preceding), '') as before,
+        coalesce(string_agg(digest, '') over (partition by tree, idx // 16 order by idx
+            rows between 1 following and unbounded following), '') as after
+    from {name}{k} where n > 1
+)""")
+        parts.append(f"""{name}{k + 1} as (
+    select tree, idx // 16 as idx, sha256(string_agg(digest, '' order by idx)) as digest,
+        (any_value(n) + 15) // 16 as n
+    from {name}{k} where n > 1 group by tree, idx // 16
+)""")
+    return ", ".join(parts)
+
+
+def _last(name: str, depth: int) -> str:
+    return " union all ".join(
+        f"select tree, digest from {name}{k} where n = 1" for k in range(depth + 1)
+    )
+
+
+#: Levels of the trees that the SQL spells out; 16 ** 7 rows per source, 16 ** 4 sources.
+_DEPTH, _TOP_DEPTH = 7, 4
+
+
+def _steps() -> str:
+    """One WITH part per level, so that the folded digest is named and not repeated."""
+    parts, source = [], "leaves"
+    levels = [("own", k, "tree", "idx") for k in range(_DEPTH)]
+    levels += [("top", k, "0", "tree") for k in range(_TOP_DEPTH)]
+    for number, (name, k, tree, idx) in enumerate(levels):
+        parts.append(f"""step{number} as (
+    select s.* exclude (proof, folded), s.proof || coalesce(p.before || p.after, '') as proof,
+        case when p.before is null then s.folded else sha256(p.before || s.folded || p.after) end as folded
+    from {source} as s left join {name}_path{k} as p
+        on p.tree = s.{tree} and p.idx = s.{idx} // {16 ** k}
+)""".replace("s.0", "0"))
+        source = f"step{number}"
+    return ", ".join(parts)
+
+
+_FIELDS = ["doc_id", "source", "lang", "n_chars"]
+_PARTS = " || ".join(
+    f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in _FIELDS
+)
+_BYTES = "[ord(c) for c in string_split(cast(doc_id as varchar), '')]"
+
+#: Level by level with windows; CRC-32 bit by bit over the decimal digits.
+OP13_MERKLE_MANIFEST = rf"""
+with digests as (
+    select doc_id, source,
+        sha256({_PARTS} || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+        sha256({_PARTS} || coalesce(strlen(text) || ':' ||
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) as lowered,
+        xor(list_reduce(list_concat([4294967295::bigint], {_BYTES}), lambda c, b:
+            list_reduce(list_concat([xor(c, b)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, i:
+                xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::bigint) as crc
+    from documents
+), leaves as (
+    select doc_id, leaf, dense_rank() over (order by source nulls first) - 1 as tree,
+        row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as idx,
+        count(*) over (partition by source) as n, '' as proof,
+        case when crc % 5 = 0 then lowered else leaf end as folded
+    from digests
+), {_levels("own", "select tree, idx, leaf as digest, n from leaves", _DEPTH)},
+subroots as ({_last("own", _DEPTH)}),
+{_levels("top", "select 0 as tree, tree as idx, digest, count(*) over () as n from subroots", _TOP_DEPTH)},
+root as ({_last("top", _TOP_DEPTH)}),
+{_steps()}
+select s.doc_id, s.leaf, r.digest as subroot, root.digest as root, sha256(s.proof) as proof_sha256,
+    s.folded as folded_root, s.folded = root.digest as verified
+from step{_DEPTH + _TOP_DEPTH - 1} as s join subroots as r on r.tree = s.tree cross join root
+"""

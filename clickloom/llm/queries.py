@@ -11,6 +11,7 @@ from clickloom.llm.bpe import encode_documents
 from clickloom.llm.classifier import grades_of_labels, judge_documents, train
 from clickloom.llm.licenses import find_licenses
 from clickloom.llm.line_dedup import removed_lines
+from clickloom.llm.merkle import verify_documents
 from clickloom.llm.packing import pack_documents
 from clickloom.llm.pii import find_personal_data
 from clickloom.llm.rules import judge_quality
@@ -75,6 +76,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,6 +93,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_personal_data,
         op10_quality_rules,
+        op13_merkle_manifest,
     )
 }
 
@@ -96,4 +102,5 @@ ORACLES: dict[str, str] = {
     "op2_license_scan": oracles.OP2_LICENSE_SCAN,
     "op5_line_dedup": oracles.OP5_LINE_DEDUP,
     "op6_exact_top_k": oracles.OP6_EXACT_TOP_K,
+    "op13_merkle_manifest": oracles.OP13_MERKLE_MANIFEST,
 }
