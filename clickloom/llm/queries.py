@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import oracles
+from clickloom.llm.alignment import align_documents
 from clickloom.llm.bpe import encode_documents
 from clickloom.llm.classifier import grades_of_labels, judge_documents, train
 from clickloom.llm.licenses import find_licenses
@@ -76,6 +77,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_table(spark, sf_dir, "documents"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        keep_groups=False,
+    ).documents
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_documents(_table(spark, sf_dir, "documents"))
 
@@ -93,6 +103,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_personal_data,
         op10_quality_rules,
+        op11_tokenizer_alignment,
         op13_merkle_manifest,
     )
 }
