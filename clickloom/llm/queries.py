@@ -19,6 +19,7 @@ from clickloom.llm.rules import judge_quality
 from clickloom.llm.secret_scan import find_secrets
 from clickloom.llm.simhash import simhash_groups
 from clickloom.llm.topk import top_k
+from clickloom.llm.urls import judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +87,10 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).documents
 
 
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"), max_rows=10_000)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_documents(_table(spark, sf_dir, "documents"))
 
@@ -104,6 +109,7 @@ QUERIES = {
         op9_personal_data,
         op10_quality_rules,
         op11_tokenizer_alignment,
+        op12_url_filter,
         op13_merkle_manifest,
     )
 }
