@@ -16,7 +16,7 @@ import sys
 import zlib
 from collections import Counter
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +38,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_POSTINGS = 1 << 20
 #: Most documents of a block: a bitmap's positions are 16-bit numbers.
 BLOCK_DOCUMENTS = 1 << 16
-#: Entries of a worker's cache of words; a full cache is emptied. Longer words aren't kept.
-CACHED_WORDS, LONGEST_WORD = 120_000, 40
+#: Entries of each half of a worker's cache of words; longer words aren't kept.
+CACHED_WORDS, LONGEST_WORD = 300_000, 40
 
 #: Cuts that neither tokenizer's tokens cross: before a blank or a line's end between other marks.
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _SPACE_MARK = "▁"
+#: Marks that the first tokenizer's pattern keeps apart from letters before them.
+_MARKS = frozenset(".,;:!?")
 
 
 class Aligner:
@@ -58,11 +60,14 @@ class Aligner:
         self._first = Tokenizer.from_buffer(spec)
         self._first.encode_special_tokens = True
         self._second = SentencePieceProcessor(model_proto=model)
-        to_byte = {c: b for b, c in byte_characters().items()}
+        self._tokenize, self._characters = self._first.model.tokenize, byte_characters()
+        self._ascii = {b: c for b, c in self._characters.items() if b < 128}
+        to_byte = {c: b for b, c in self._characters.items()}
         vocabulary = self._first.get_vocab(with_added_tokens=False)
-        self._first_bytes = {
-            i: bytes(map(to_byte.__getitem__, piece)) for piece, i in vocabulary.items()
-        }
+        # every byte is a token, so the tokens' bytes are always the text's: lengths will do
+        assert all(c in vocabulary for c in to_byte)
+        lengths = {i: sum(c in to_byte for c in piece) for piece, i in vocabulary.items()}
+        self._first_length = lengths.__getitem__
         second, self._second_bytes = self._second, []
         self._cuts_hold = True
         for i in range(second.get_piece_size()):
@@ -74,45 +79,64 @@ class Aligner:
             if "\n" in piece or re.search(f"[^{_SPACE_MARK}]{_SPACE_MARK}", piece):
                 self._cuts_hold = False
         self._blank = second.piece_to_id(_SPACE_MARK)
+        self._second_length = [len(b) for b in self._second_bytes].__getitem__
+        # two halves: what was used since the last turn, and what before
         self._kept: dict[str, tuple | None] = {}
+        self._older: dict[str, tuple | None] = {}
+
+    def _pretoken(self, text: str) -> list[int]:
+        if text.isascii():
+            return [t.id for t in self._tokenize(text.translate(self._ascii))]
+        return [t.id for t in self._tokenize("".join(map(self._characters.__getitem__, text.encode())))]
 
-    def _ids(self, word: str) -> tuple[list[int], list[int]]:
-        first = self._first.encode(word, add_special_tokens=False).ids
+    def _first_ids(self, word: str) -> list[int]:
+        # letters, and letters with one mark behind them, need no search for pre-tokens
         if word[0] == " ":
-            return first, self._second.encode(word[1:])
-        # the model puts a blank before every text; here there is none
-        second = self._second.encode(word)
-        return first, second[1:] if second[:1] == [self._blank] else [-1]
-
-    def _align(self, word: str) -> tuple | None:
-        """Numbers of tokens and groups, the groups as text, and the linked pairs; or None
-        if the tokens' bytes aren't the word's."""
-        first, second = self._ids(word)
-        raw = word.encode()
-        if -1 in second:
-            return None
-        a, b = [self._first_bytes[i] for i in first], [self._second_bytes[i] for i in second]
-        if b"".join(a) != raw or b"".join(b) != raw:
-            return None
-        ends_b = {end: j + 1 for j, end in enumerate(accumulate(map(len, b)))}
+            if word[1:].isalpha():
+                return self._pretoken(word)
+            if word[-1] in _MARKS and word[1:-1].isalpha():
+                return self._pretoken(word[:-1]) + self._pretoken(word[-1])
+        return self._first.encode(word, add_special_tokens=False).ids
+
+    def _align(self, word: str, second: list[int]) -> tuple:
+        """Numbers of tokens, the groups as text, and the linked pairs; nothing if the tokens'
+        bytes aren't the word's. ``second`` has the blank that the model puts before a text."""
+        if word[0] != " ":
+            if second[0] != self._blank:
+                return ()
+            second = second[1:]
+        if b"".join(map(self._second_bytes.__getitem__, second)) != word.encode():
+            return ()
+        first = self._first_ids(word)
+        if len(first) == len(second) == 1:
+            return 1, 1, f"{first[0]}|{second[0]}", (first[0] << 32 | second[0],)
+        ends_b = dict(zip(accumulate(map(self._second_length, second)), range(1, len(second) + 1)))
         groups, links, i0, j0 = [], [], 0, 0
-        for i, end in enumerate(accumulate(map(len, a)), 1):
-            j = ends_b.get(end)
-            if j is not None:
-                left, right = first[i0:i], second[j0:j]
-                groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-                links.append(left[-1] << 32 | right[-1])
+        for i, end in enumerate(accumulate(map(self._first_length, first)), 1):
+            if end in ends_b:
+                j = ends_b[end]
+                a, b = first[i - 1], second[j - 1]
+                if i - i0 == j - j0 == 1:
+                    groups.append(f"{a}|{b}")
+                else:
+                    groups.append(f"{','.join(map(str, first[i0:i]))}|{','.join(map(str, second[j0:j]))}")
+                links.append(a << 32 | b)
                 i0, j0 = i, j
         return len(first), len(second), ";".join(groups), tuple(links)
 
-    def _word(self, word: str) -> tuple | None:
-        found = self._kept.get(word, self)
-        if found is self:
-            found = self._align(word)
-            if len(word) <= LONGEST_WORD:
-                if len(self._kept) >= CACHED_WORDS:
-                    self._kept.clear()
-                self._kept[word] = found
+    def _look_up(self, words: set[str]) -> dict[str, tuple]:
+        """``_align`` of words that aren't in the newer half of the cache."""
+        found = {w: self._older[w] for w in words if w in self._older}
+        fresh = list(words.difference(found))
+        for k in range(0, len(fresh), 4096):
+            some = fresh[k : k + 4096]
+            texts = [w[1:] if w[0] == " " else w for w in some]
+            for w, second in zip(some, self._second.encode(texts, num_threads=1), strict=True):
+                found[w] = self._align(w, second)
+        if len(self._kept) + len(found) > CACHED_WORDS:
+            self._older, self._kept = self._kept, {}
+        if len(found) <= CACHED_WORDS:
+            self._kept.update(x for x in found.items() if len(x[0]) <= LONGEST_WORD)
         return found
 
     def __call__(self, text: str):
@@ -121,19 +145,14 @@ class Aligner:
             return None
         whole = " " + text
         words = _CUT.split(whole) if self._cuts_hold else [whole]
-        counted = Counter(words)
-        aligned = {w: self._word(w) for w in counted}
-        if None in aligned.values():
+        aligned = list(map(self._kept.get, words))
+        if None in aligned:
+            found = self._look_up({w for w, known in zip(words, aligned) if known is None})
+            aligned = [found[w] if known is None else known for w, known in zip(words, aligned)]
+        if () in aligned:
             return None
-        n_a = n_b = 0
-        pairs: Counter[int] = Counter()
-        for w, times in counted.items():
-            a, b, _, links = aligned[w]
-            n_a += a * times
-            n_b += b * times
-            for pair in links:
-                pairs[pair] += times
-        return n_a, n_b, ";".join([aligned[w][2] for w in words]), pairs
+        a, b, groups, links = zip(*aligned)
+        return sum(a), sum(b), ";".join(groups), Counter(chain.from_iterable(links))
 
 
 # -- bitmaps ---------------------------------------------------------------------
