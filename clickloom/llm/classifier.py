@@ -158,9 +158,10 @@ def train(
     """Fit on at most ``max_rows`` rated documents (those with the smallest hashes of their ids).
 
     ``ratings`` has columns ``doc_id`` and ``grade``; rows with a null are left out, a
-    rating that comes repeatedly counts once, different ones of a document count each.
-    The sampled ids are broadcast, their features come to the driver: both at most
-    ``max_rows`` rows.
+    rating that comes repeatedly counts once, different ones of a document count each. Of
+    several texts under one id the bytewise smallest counts, so however often an id comes,
+    one row of it is read on. The sampled ids are broadcast, their features come to the
+    driver: both at most ``max_rows`` rows.
     """
     sample = (
         ratings.select(F.col("doc_id").cast("long").alias("rated"), F.col("grade").cast("int"))
@@ -172,6 +173,8 @@ def train(
     chosen = whole_text(docs, id_col, text_col).join(
         F.broadcast(sample), F.col("doc_id") == F.col("rated")
     )
+    # one text per rating: rows of a repeated id are combined before they are shuffled
+    chosen = chosen.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
     schema = pa.schema(
         [("doc_id", pa.int64()), ("grade", pa.int32()), ("features", pa.list_(pa.int32()))]
     )
@@ -250,7 +253,11 @@ def judge_documents(
 def select_documents(
     docs: DataFrame, model: Model, tail: int = 2, min_probability: float = 0.5, text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``judge_documents`` keeps. No shuffle."""
+    """The rows of ``docs``, all columns whatever their names, that ``judge_documents`` keeps.
+
+    Null and empty texts are judged by their length features; each row, repeated ones
+    included, is judged by itself; an empty table stays empty. No shuffle.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches):

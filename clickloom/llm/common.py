@@ -24,6 +24,14 @@ def whole_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words_of(text: Column) -> Column:
     """The words of a text in order, as an array."""
     return F.array_remove(F.split(text, SPACE + "+"), "")

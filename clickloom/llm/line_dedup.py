@@ -4,10 +4,12 @@ A line is the set of its words. Two lines with Jaccard similarity of at least s
 token among the rarest of each: of n tokens in one global order, the first
 n - ceil(s n) + 1 (prefix filter). The order is by rarity, counted over all documents
 in a sketch of fixed size; any global order is exact, a good one keeps groups small.
-Lines that share a prefix token are candidates if their sizes allow the similarity
-(length filter), if enough tokens can still follow (positional filter) and if their
-parity bitmaps don't differ in more bits than their sets may in tokens. What is left
-is verified on the words themselves.
+The shorter line of a pair (either of equals) shares one even among its first
+n - ceil(2 s n / (1 + s)) + 1, so a token that lines hold only further back finds
+nothing. Lines that share a prefix token are candidates if their sizes allow the
+similarity (length filter), if enough tokens can still follow (positional filter) and
+if their parity bitmaps don't differ in more bits than their sets may in tokens. What
+is left is verified on the words themselves.
 """
 
 from __future__ import annotations
@@ -20,14 +22,14 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import whole_text
+from clickloom.llm.common import fresh_name, whole_text
 from clickloom.llm.pretokens import release_worker
 from clickloom.workspace import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Buckets of the rarity counts and of the filter of wanted lines. Fixed, whatever the input.
-COUNT_BITS, LINE_BITS = 20, 23
+COUNT_BITS, LINE_BITS = 18, 23
 #: Bytes of text that are hashed at once in a task.
 CHUNK = 1 << 18
 #: Earlier candidates of a line and token that go to the first verification.
@@ -36,6 +38,8 @@ FIRST_WITNESSES = 6
 LONG_LINE, LONG_WITNESSES = 200, 64
 #: Lines of a token that are compared with one another at once.
 BLOCK = 512
+#: A token that more distinct lines hold among their rarest is compared in several tasks.
+HOT_ROWS = 1024
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -144,7 +148,12 @@ def rarity(docs: DataFrame) -> np.ndarray:
     return np.minimum(np.round(16 * np.log2(counts + 1)), 1023).astype(np.uint16)
 
 
-_LINES = "doc_id long, line int, set long, n int, even long, odd long, prefix array<int>"
+_LINES = "doc_id long, line int, set long, set2 long, n int, even long, odd long, prefix array<long>"
+
+
+def index_length(n: np.ndarray, threshold: float) -> np.ndarray:
+    """Of n tokens in order, how many may hold the one shared with a line at least as long."""
+    return n - np.ceil(2 * threshold / (1 + threshold) * n - 1e-9).astype(np.int64) + 1
 
 
 def _line_sets(classes, threshold: float):
@@ -165,13 +174,17 @@ def _sets_of(rows, classes: np.ndarray, threshold: float):
     line = np.searchsorted(breaks, starts)
     rank = classes[(hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
     order = np.lexsort((hashes, rank, line)) if len(breaks) >= 1 << 22 else _order(line, rank, hashes)
-    line, hashes = line[order], hashes[order]
+    line, hashes, rank_of = line[order], hashes[order], rank[order]
     fresh = np.ones(len(line), bool)
     fresh[1:] = (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1])
-    line, hashes = line[fresh], hashes[fresh]
+    line, hashes, rank_of = line[fresh], hashes[fresh], rank_of[fresh]
     first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
     n = np.diff(np.append(first, len(line)))
-    sets = _mix(np.add.reduceat(_mix(hashes + np.uint64(_BASE)), first)).view(np.int64)
+    # two sums: of 64 bits alone some of 10 ** 11 lines would agree by chance
+    sets, sets2 = (
+        _mix(np.add.reduceat(_mix(hashes * odd + np.uint64(_BASE)), first)).view(np.int64)
+        for odd in (np.uint64(1), np.uint64(0xD6E8FEB86659FD93))
+    )
     parity = [
         np.bitwise_xor.reduceat(
             (hashes >> np.uint64(6) & np.uint64(1) == half)
@@ -185,14 +198,17 @@ def _sets_of(rows, classes: np.ndarray, threshold: float):
     doc = np.searchsorted(doc_starts, np.concatenate([[0], breaks + 1])[numbers], "right") - 1
     lines_before = np.searchsorted(breaks, doc_starts)
     at = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(length.sum())
-    # the lower half of the hash names a prefix token; a clash only adds candidates
-    prefix = (hashes[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+    # the lower half of the hash names a prefix token; a clash only adds candidates. Above it
+    # stands how often its bucket was counted, as a rank class
+    prefix = (hashes[at] & np.uint64(0xFFFFFFFF)) | rank_of[at].astype(np.uint64) << np.uint64(32)
+    prefix = prefix.view(np.int64)
     ids = pa.array([r[0] for r in rows], pa.int64()).take(pa.array(doc))
     yield pa.RecordBatch.from_arrays(
         [
             ids,
             pa.array((numbers - lines_before[doc]).astype(np.int32)),
             pa.array(sets),
+            pa.array(sets2),
             pa.array(n.astype(np.int32)),
             pa.array(parity[0]),
             pa.array(parity[1]),
@@ -200,7 +216,7 @@ def _sets_of(rows, classes: np.ndarray, threshold: float):
                 pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(prefix)
             ),
         ],
-        ["doc_id", "line", "set", "n", "even", "odd", "prefix"],
+        ["doc_id", "line", "set", "set2", "n", "even", "odd", "prefix"],
     )
 
 
@@ -232,66 +248,96 @@ def _limits(n: np.ndarray, most: int | None) -> np.ndarray:
     return np.where(n >= LONG_LINE, max(most, LONG_WITNESSES), most)
 
 
+def _possible(a, b, n, pos, part, parity, threshold: float) -> np.ndarray:
+    """Which pairs of rows (index arrays that fit together) the filters leave."""
+    na, nb, pa_, pb = n[a], n[b], pos[a], pos[b]
+    total = na + nb
+    ok = np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9
+    # the shorter line's token must be among its first few; equally long ones' both
+    ok &= (na > nb) | (pa_ < index_length(na, threshold))
+    ok &= (nb > na) | (pb < index_length(nb, threshold))
+    ok &= np.minimum(na - pa_, nb - pb) + np.minimum(pa_, pb) >= (
+        threshold / (1 + threshold) * total - 1e-9
+    )
+    # rows of two parts that were dealt out together meet, a part's own elsewhere
+    ok &= (part[a] == 0) | (part[a] != part[b])
+    return ok & _similar(na, nb, sum(np.bitwise_count(p[a] ^ p[b]) for p in parity), threshold)
+
+
 def _candidates(threshold: float, most: int | None):
-    """Earlier lines that may be similar, from rows sorted by token and place.
+    """Earlier lines that may be similar, from rows sorted by key.
+
+    Rows: key, ``doc_id``, line and part (0: whole group) in one number, size, position and
+    whether the line asks in another, and the two parity bitmaps.
 
     For each line that asks, the ``most`` earliest (all, if None) and whether there are
     more. Groups are compared block by block.
     """
 
     def compare(group):
-        _, ids, lines, asks, n, pos, *parity = group
-        size = len(ids)
-        for b0 in range(0, size, BLOCK):
-            b1 = min(size, b0 + BLOCK)
-            found = np.zeros(b1 - b0, np.int64)
-            mine = b0 + np.flatnonzero(asks[b0:b1])
-            found, limit = found[: len(mine)], _limits(n[mine], most)
-            if not len(mine):
-                continue
-            for a0 in range(0, b1, BLOCK):
-                theirs = slice(a0, min(a0 + BLOCK, b1))
-                na, nb = n[theirs][None, :], n[mine][:, None]
-                least, largest = np.minimum(na, nb), np.maximum(na, nb)
-                ok = least >= threshold * largest - 1e-9
-                ok &= np.arange(a0, theirs.stop)[None, :] < mine[:, None]
-                rest = np.minimum(na - pos[theirs][None, :], nb - pos[mine][:, None])
-                ok &= rest + np.minimum(pos[theirs][None, :], pos[mine][:, None]) >= (
-                    threshold / (1 + threshold) * (na + nb) - 1e-9
-                )
-                differing = sum(
-                    np.bitwise_count(p[theirs][None, :] ^ p[mine][:, None]) for p in parity
-                )
-                ok &= _similar(na, nb, differing, threshold)
-                ok &= (found < limit)[:, None]
-                i, j = np.nonzero(ok)
-                if len(i):
-                    run = np.arange(len(i)) - np.searchsorted(i, i)
-                    place = run + found[i]
-                    keep = place < limit[i]
-                    more = np.zeros(len(mine), bool)
-                    more[i[place >= limit[i] - 1]] = True
-                    found += np.bincount(i, minlength=len(mine))
-                    b, a = mine[i[keep]], a0 + j[keep]
-                    yield ids[b], lines[b], ids[a], lines[a], more[i[keep]]
+        """Block of lines against earlier block; one row of a pair has its token far in front."""
+        _, ids, lines, asks, n, pos, part, *parity = group
+        in_front = pos < index_length(n, threshold)
+        front, back = np.flatnonzero(in_front), np.flatnonzero(~in_front)
+        for b0 in range(0, len(ids), BLOCK):
+            mine = b0 + np.flatnonzero(asks[b0 : b0 + BLOCK])
+            found, limit = np.zeros(len(mine), np.int64), _limits(n[mine], most)
+            for others, all_mine in ((front, True), (back, False)):
+                others = others[: np.searchsorted(others, b0 + BLOCK)]
+                for a0 in range(0, len(others), BLOCK):
+                    theirs = others[a0 : a0 + BLOCK]
+                    use = np.flatnonzero((found < limit) & (all_mine | in_front[mine]))
+                    if not len(use):
+                        break
+                    b = mine[use]
+                    ok = theirs[None, :] < b[:, None]
+                    ok &= _possible(theirs[None, :], b[:, None], n, pos, part, parity, threshold)
+                    i, j = np.nonzero(ok)
+                    if len(i):
+                        at = use[i]
+                        place = np.arange(len(i)) - np.searchsorted(i, i) + found[at]
+                        keep = place < limit[at]
+                        more = np.zeros(len(mine), bool)
+                        more[at[place >= limit[at] - 1]] = True
+                        found += np.bincount(at, minlength=len(mine))
+                        left, right = mine[at[keep]], theirs[j[keep]]
+                        yield ids[left], lines[left], ids[right], lines[right], more[at[keep]]
 
     def run(batches):
-        rest = None
+        held = []
         for batch in batches:
-            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(8)]
-            columns[6:] = [c.view(np.uint64) for c in columns[6:]]
-            if rest is not None:
-                columns = [np.concatenate(c) for c in zip(rest, columns, strict=True)]
+            key, ids, spot, meta, even, odd = (
+                batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)
+            )
+            columns = [
+                key,
+                ids,
+                (spot >> 32).astype(np.int32),
+                (meta & 1).astype(bool),
+                meta >> 32,
+                meta >> 1 & 0x7FFFFFFF,
+                (spot & 0xFFFFFFFF).astype(np.int32),
+                even.view(np.uint64),
+                odd.view(np.uint64),
+            ]
             last = int(np.searchsorted(columns[0], columns[0][-1]))
-            yield from emit(columns, last)
-            rest = [c[last:] for c in columns]
-        if rest is not None:
-            yield from emit(rest, len(rest[0]))
-
-    def emit(columns, end):
-        tokens = columns[0][:end]
-        if not len(tokens):
-            return
+            if last and held:
+                yield from emit([*held, [c[:last] for c in columns]])
+                held = []
+            elif last:
+                yield from emit([[c[:last] for c in columns]])
+            elif held and held[-1][0][-1] != columns[0][0]:
+                yield from emit(held)
+                held = []
+            held.append([c[last:] for c in columns])
+        if held:
+            yield from emit(held)
+
+    def emit(parts):
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        order = np.lexsort((columns[2], columns[1], columns[0]))
+        columns = [c[order] for c in columns]
+        tokens = columns[0]
         edges = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]]))
         sizes = np.diff(edges)
         out = [[] for _ in range(5)]
@@ -314,7 +360,7 @@ def _candidates(threshold: float, most: int | None):
 
 def _small(columns, edges, sizes, chosen, threshold: float, most: int | None):
     """Candidates within small groups, for all of them at once, nearest to the first row first."""
-    _, ids, lines, asks, n, pos, *parity = columns
+    _, ids, lines, asks, n, pos, part, *parity = columns
     size = sizes[chosen]
     first = np.repeat(edges[chosen], size)
     at = first + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
@@ -324,17 +370,11 @@ def _small(columns, edges, sizes, chosen, threshold: float, most: int | None):
         a, b = first + k, at
         use = np.flatnonzero((a < b) & asks[b] & (found < limit))
         a, b = a[use], b[use]
-        na, nb = n[a], n[b]
-        total = na + nb
-        ok = np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9
-        ok &= np.minimum(na - pos[a], nb - pos[b]) + np.minimum(pos[a], pos[b]) >= (
-            threshold / (1 + threshold) * total - 1e-9
-        )
-        ok &= _similar(na, nb, sum(np.bitwise_count(p[a] ^ p[b]) for p in parity), threshold)
+        ok = _possible(a, b, n, pos, part, parity, threshold)
         a, b, use = a[ok], b[ok], use[ok]
         found[use] += 1
-        for o, part in zip(out, (ids[b], lines[b], ids[a], lines[a]), strict=False):
-            o.append(part)
+        for o, values in zip(out, (ids[b], lines[b], ids[a], lines[a]), strict=False):
+            o.append(values)
         out[4].append(found[use] >= limit[use])
     if sum(map(len, out[0])):
         yield _batch(out)
@@ -410,6 +450,49 @@ def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def _hot_tokens(sets: DataFrame) -> DataFrame:
+    """Tokens that more than ``HOT_ROWS`` distinct lines hold in their prefix, and how many.
+
+    Counted are only tokens that come so often at all.
+    """
+    least = int(16 * np.log2(HOT_ROWS))
+    often = sets.select(
+        F.explode(F.filter("prefix", lambda t: F.shiftright(t, 32) >= least)).alias("ranked")
+    )
+    return (
+        often.groupBy(_token(F.col("ranked")).alias("token"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .filter(F.col("rows") > HOT_ROWS)
+    )
+
+
+def _token(ranked: Column) -> Column:
+    return ranked.bitwiseAND(0xFFFFFFFF)
+
+
+def _dealt(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Rows with the ``key`` under which they meet, and their ``part`` there (0: no parts).
+
+    The lines of a hot token fall into parts by their place; every two parts meet under a
+    key of their own, and each part once alone. Parts grow with the square root of the
+    token's lines, so that both a task's rows and a line's copies stay few.
+    """
+    if hot is None:
+        return rows.withColumn("key", F.col("token")).withColumn("part", F.lit(0).cast("long"))
+    parts = F.ceil(F.sqrt("rows") / 11)
+    own = F.pmod(F.xxhash64(*_PLACE), parts)
+    met = F.when(F.col("rows").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(
+        F.sequence(F.lit(0).cast("long"), parts - 1)
+    )
+    met_rows = rows.join(hot, "token", "left").withColumn("own", own).withColumn("other", F.explode(met))
+    alone = F.col("other") == -1
+    key = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other"))
+    part = F.when(alone | (F.col("own") == F.col("other")), 0).otherwise(F.col("own") + 1)
+    return met_rows.withColumn("key", F.when(alone, F.col("token")).otherwise(key)).withColumn(
+        "part", part.cast("long")
+    )
+
+
 def removed_lines(
     docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -422,19 +505,22 @@ def removed_lines(
     texts have no lines; repeated rows of a document are one document; rows without
     ``doc_id`` take no part; other columns are ignored; an empty table removes nothing.
 
-    Equal sets collapse before the join, so a line that a third of all documents share
-    costs one row per task. Of each line's candidates the earliest few are verified first;
-    only lines that none of these removes are compared with all the rest.
+    Equal sets collapse before the join, by two 64-bit sums over their words' hashes, so a
+    line that a third of all documents share costs one row per task. Of each line's
+    candidates the earliest few are verified first; only lines that none of these removes
+    are compared with all the rest. Tokens of very many lines are dealt out (``_dealt``).
     """
     plain = whole_text(docs, id_col, text_col).filter("doc_id IS NOT NULL")
     classes = docs.sparkSession.sparkContext.broadcast(rarity(plain.select("doc_id", "text")))
     lines = materialise(plain.mapInArrow(_line_sets(classes, threshold), _LINES), "lines")
     firsts = materialise(
-        lines.groupBy("set")
+        lines.groupBy("set", "set2")
         .agg(F.min(F.struct("doc_id", "line", "n", "even", "odd", "prefix")).alias("f"))
-        .select("set", "f.*"),
+        .select("set", "set2", "f.*"),
         "line_sets",
     )
+    hot = materialise(_hot_tokens(firsts), "hot_tokens")
+    hot = None if hot.isEmpty() else hot
 
     def candidates(most: int | None, asking: DataFrame | None = None) -> DataFrame:
         sets = firsts.withColumn("asks", F.lit(True))
@@ -443,15 +529,21 @@ def removed_lines(
                 False, ["asks"]
             )
         rows = sets.select(
-            F.posexplode("prefix").alias("pos", "token"), *_PLACE, "asks", "n", "even", "odd"
-        )
+            F.posexplode("prefix").alias("pos", "ranked"), *_PLACE, "asks", "n", "even", "odd"
+        ).withColumn("token", _token(F.col("ranked")))
         if asking is not None:
-            tokens = firsts.join(asking, _PLACE, "left_semi").select(F.explode("prefix").alias("t"))
+            tokens = firsts.join(asking, _PLACE, "left_semi").select(
+                F.explode(F.transform("prefix", _token)).alias("t")
+            )
             rows = _among(rows, F.xxhash64("token"), tokens, F.xxhash64("t"))
+        long = lambda c: F.col(c).cast("long")
+        spot = F.shiftleft(long("line"), 32).bitwiseOR(F.col("part"))
+        meta = F.shiftleft(long("n"), 32).bitwiseOR(F.shiftleft(long("pos"), 1)).bitwiseOR(long("asks"))
         return (
-            rows.repartition("token")
-            .sortWithinPartitions("token", *_PLACE)
-            .select("token", *_PLACE, "asks", "n", "pos", "even", "odd")
+            _dealt(rows, hot)
+            .select("key", "doc_id", spot.alias("spot"), meta.alias("meta"), "even", "odd")
+            .repartition("key")
+            .sortWithinPartitions("key")
             .mapInArrow(_candidates(threshold, most), _CANDIDATES)
             .groupBy(*_PLACE, *_OTHER)
             .agg(F.max("more").alias("more"))
@@ -465,41 +557,65 @@ def removed_lines(
         rest = materialise(candidates(None, asking), "line_pairs")
         matched = matched.unionByName(_verified(plain, rest, threshold))
     marks = firsts.join(matched.withColumn("similar", F.lit(True)), _PLACE, "left").select(
-        "set", F.struct(*_PLACE).alias("first"), F.coalesce("similar", F.lit(False)).alias("similar")
+        "set",
+        "set2",
+        F.struct(*_PLACE).alias("first"),
+        F.coalesce("similar", F.lit(False)).alias("similar"),
     )
     return (
-        lines.select(*_PLACE, "set")
-        .join(marks, "set")
+        lines.select(*_PLACE, "set", "set2")
+        .join(marks, ["set", "set2"])
         .filter(F.col("similar") | (F.struct(*_PLACE) != F.col("first")))
         .select(*_PLACE)
         .distinct()
     )
 
 
-def drop_removed_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+def _without(text_at: int, count_at: int | None, names: list[str]):
+    """Rows without the lines whose numbers stand in the last column."""
+
+    def run(batches):
+        for batch in batches:
+            texts, gone = batch.column(text_at), batch.column(batch.num_columns - 1)
+            new, keep = texts.to_pylist(), np.ones(batch.num_rows, bool)
+            changed = np.flatnonzero(gone.is_valid().to_numpy(zero_copy_only=False)).tolist()
+            for k in changed:
+                numbers = set(gone[k].as_py())
+                new[k] = "\n".join(x for i, x in enumerate(new[k].split("\n")) if i not in numbers)
+                keep[k] = bool(new[k].strip(" \t\n\x0b\x0c\r"))
+            columns = [batch.column(k) for k in range(batch.num_columns - 1)]
+            columns[text_at] = pa.array(new, texts.type)
+            if count_at is not None:
+                counts = columns[count_at].to_pylist()
+                for k in changed:
+                    counts[k] = len(new[k])
+                columns[count_at] = pa.array(counts, columns[count_at].type)
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
+
+    return run
+
+
+def drop_removed_lines(docs: DataFrame, threshold: float = 0.8, text_col: str = "text") -> DataFrame:
     """``docs`` without the lines of ``removed_lines``; ``n_chars`` follows, if there.
 
-    All columns stay. A document that loses every line with a word goes; one that had
-    none stays as it is.
+    All columns stay, whatever their names. Each row is a document of its own, earlier is
+    by place in ``docs``: rows that repeat an id, or have none, lose only their own lines,
+    and of repeated rows the first keeps them. A document that loses every line with a
+    word goes; one that had none stays as it is, null and empty texts included. An empty
+    table stays empty. ``docs`` must be a scan or a narrow plan over one, so that a repeated
+    task numbers its rows alike.
     """
-    gone = (
-        removed_lines(docs, threshold)
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.sort_array(F.collect_list("line")).alias("__gone"))
+    row, gone = fresh_name(docs, "_row"), fresh_name(docs, "_gone")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    found = (
+        removed_lines(numbered, threshold, row, text_col)
+        .groupBy(F.col("doc_id").alias(row))
+        .agg(F.collect_list("line").alias(gone))
     )
-    kept = F.expr(
-        "filter(split(text, '\\n'), (x, i) -> NOT array_contains(__gone, i))"
-    )
-    left = F.array_join(kept, "\n")
-    out = docs.join(gone, docs.doc_id == F.col("__id"), "left").withColumn(
-        "text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left)
+    names = docs.columns
+    count_at = names.index("n_chars") if "n_chars" in names else None
+    return (
+        numbered.join(found, row, "left")
+        .select(*[f"`{c}`" for c in names], gone)
+        .mapInArrow(_without(names.index(text_col), count_at, names), docs.schema)
     )
-    out = out.filter(F.col("__gone").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn(
-            "n_chars",
-            F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(
-                F.length("text").cast(docs.schema["n_chars"].dataType)
-            ),
-        )
-    return out.select(*[f"`{c}`" for c in docs.columns])

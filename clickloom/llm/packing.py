@@ -11,6 +11,8 @@ no padding and are twelve more transitions.
 
 from __future__ import annotations
 
+import json
+import re
 import sys
 import zlib
 from collections import deque
@@ -174,10 +176,23 @@ class _Packer:
                 return [t.id for t in tokenize(pretoken.translate(ascii_characters))]
             return [t.id for t in tokenize("".join(map(characters.__getitem__, pretoken.encode())))]
 
-        self.encode = CachedIds(encode, pattern)
+        self._encode = CachedIds(encode, pattern)
+        # tokens added to the vocabulary stand for their whole string, before the pattern counts
+        added = {t["content"]: t for t in json.loads(spec)["added_tokens"]}
+        if any(t[flag] for t in added.values() for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens with conditions on their surroundings")
+        self._added = {c: t["id"].to_bytes(4, "little") for c, t in added.items()}
+        longest_first = sorted(map(re.escape, added), key=len, reverse=True)
+        self._split = re.compile(f"({'|'.join(longest_first)})").split if added else None
         self.sentence_end = sentence_ending(model, end_id)
 
 
+    def encode(self, text: str) -> bytes:
+        if self._split is None or not any(c in text for c in self._added):
+            return self._encode(text)
+        return b"".join([self._added.get(t) or self._encode(t) for t in self._split(text) if t])
+
+
 def pack_documents(
     docs: DataFrame,
     tokenizer: str,
@@ -192,7 +207,8 @@ def pack_documents(
     """Pieces of documents placed in windows of ``window`` (a power of two) tokens.
 
     A document's ids are those of the byte-level BPE ``tokenizer`` file (read on the
-    driver, fixed size) for each match of ``pattern``, and ``end_id``. One row per piece: ``doc_id``, ``start`` (ids
+    driver, fixed size) for each match of ``pattern``, and ``end_id``; strings of tokens that
+    the file adds to its vocabulary become those tokens, as in the tokenizer as loaded. One row per piece: ``doc_id``, ``start`` (ids
     of its document before it), ``length``, ``ids_crc32``, ``doc_tokens``,
     ``sequence_id``, ``offset`` (in its sequence, gapless from 0) and ``ids`` (binary,
     little-endian unsigned 32-bit; left out unless ``keep_ids``).

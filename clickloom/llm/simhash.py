@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import map_rows, whole_text
+from clickloom.llm.common import fresh_name, map_rows, whole_text
 from clickloom.llm.components import connected
 from clickloom.llm.pretokens import release_worker
 from clickloom.workspace import materialise
@@ -213,17 +213,19 @@ def simhash_groups(
     )
 
 
-def near_unique(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """One document of each group: the row with the smallest ``doc_id``, all columns as they are.
+def near_unique(docs: DataFrame, shingle: int = 3, distance: int = 2, text_col: str = "text") -> DataFrame:
+    """One row of each group of near-duplicates, the first in ``docs``, all columns as they are.
 
-    Of repeated rows with that id one stays. Rows without ``doc_id`` can't be told
-    apart and stay.
+    Each row is a document of its own: ids may be null or repeat with other texts, and of
+    repeated rows one stays. Null, empty and blank texts are one group. Columns may have any
+    names; an empty table stays empty. ``docs`` must be a scan or a narrow plan over one, so
+    that a repeated task numbers its rows alike.
     """
+    row = fresh_name(docs, "_row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
     kept = (
-        simhash_groups(docs, shingle, distance)
+        simhash_groups(numbered, shingle, distance, row, text_col)
         .filter("doc_id = component_id")
-        .select(F.col("doc_id").alias("__kept"))
-        .distinct()
+        .select(F.col("doc_id").alias(row))
     )
-    joined = docs.join(kept, docs.doc_id == F.col("__kept"), "left_semi")
-    return joined.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+    return numbered.join(kept, row, "left_semi").select(*[f"`{c}`" for c in docs.columns])

@@ -86,7 +86,6 @@ def test_packing_places_every_id_once(spark, given, block):
         docs, P.path("byte_bpe_50k.json"), P.PATTERN, window=256, block_tokens=block
     ).collect()
     model = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
     want = Counter()
     for i, t in rows_of(docs):
         want[i, tuple(model.encode(t, add_special_tokens=False).ids) + (1,)] += 1
@@ -114,6 +113,17 @@ def test_packing_places_every_id_once(spark, given, block):
         assert padding < 0.06 * sum(filled.values())
 
 
+def test_added_tokens_of_the_file(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>  y \n", "<|endoftext|", "<|<|endoftext|>|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = packing.pack_documents(docs, P.path("byte_bpe_50k.json"), P.PATTERN).collect()
+    model = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for k, text in enumerate(texts):
+        pieces = sorted((r.start, r.ids) for r in found if r.doc_id == k)
+        ids = np.frombuffer(b"".join(i for _, i in pieces), "<u4").tolist()
+        assert ids == [*model.encode(text, add_special_tokens=False).ids, 1]
+
+
 def test_best_cuts_are_the_best(monkeypatch):
     monkeypatch.setattr(packing, "SHORTEST", 1)
     draw = np.random.default_rng(5)
@@ -343,3 +353,33 @@ def test_empty_tables(spark):
         licenses.find_licenses(docs),
     ):
         assert result.count() == 0
+
+
+def test_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"text number {k}") for k in range(500)] + [(2, "b"), (3, "c")], "doc_id long, text string")
+    ratings = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, grade int")
+    seen = []
+    monkeypatch.setattr(classifier, "fit", lambda flat, lengths, y: seen.append(len(y)))
+    classifier.train(docs, ratings, max_rows=2)
+    assert seen[0] <= 2
+
+
+def test_fit_is_that_of_a_plain_optimiser():
+    """The same likelihood, minimised by finite differences on a tiny problem."""
+    draw = np.random.default_rng(0)
+    x = draw.integers(0, 2, (60, 3))
+    y = np.minimum(2, x[:, 0] + (draw.random(60) < 0.3)).astype(np.int64)
+    flat = np.concatenate([np.flatnonzero(r) for r in x]).astype(np.int32)
+    model = classifier.fit(flat, x.sum(1), y, steps=3000, penalty=0.01)
+    weights = np.array([model.weights.get(k, 0.0) for k in range(3)])
+
+    def loss(p):
+        cuts, f = np.array([p[0], p[0] + np.exp(p[1])]), x @ p[2:]
+        edges = np.concatenate([[-50], cuts, [50]])
+        cdf = lambda v: 1 / (1 + np.exp(-v))
+        like = cdf(edges[y + 1] - f) - cdf(edges[y] - f)
+        return -np.log(like).mean() + 0.005 * (p[2:] ** 2).sum()
+
+    p = np.concatenate([[model.thresholds[0], np.log(model.thresholds[1] - model.thresholds[0])], weights])
+    slope = [(loss(p + h) - loss(p - h)) / 2e-5 for h in np.eye(5) * 1e-5]
+    assert np.abs(slope).max() < 2e-3
