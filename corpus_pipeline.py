@@ -14,23 +14,34 @@ from clickloom.workspace import materialise
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are probably of the top grade, by a model of the rated ones."""
+    """Documents that are probably of the top grade, by a model of the rated ones.
+
+    Every row is judged by its own text, null as empty; repeated rows alike. Without
+    ratings all stay; an empty table stays empty.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return select_documents(docs, train(docs, grades_of_labels(labels), max_rows=10_000))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that match an earlier one; documents left empty go."""
+    """Documents without lines that match one of an earlier row; documents left empty go.
+
+    Rows are documents of their own, whatever their ids: repeated or null ids lose no text
+    but their repeated lines. Null and empty texts, and an empty table, stay as they are.
+    """
     return drop_removed_lines(docs, threshold=0.8)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, the first as read.
+
+    Rows are documents of their own, whatever their ids. Texts without a word are one group.
+    """
     return near_unique(docs, shingle=3, distance=2)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark."""
+    """All documents, secrets replaced by a mark; null texts, ids and other columns stay."""
     return redact_secrets(docs)
 
 
