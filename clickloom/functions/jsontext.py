@@ -6,26 +6,43 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _OID_PATTERN = r'"\$oid"\s*:\s*"([^"]+)"'
-
-
-def element_text(value: Column, path: str) -> Column:
-    """What is at ``path`` of a JSON text, as it was sent; an object or array as JSON text."""
-    return F.get_json_object(value, path)
+_OID_ALONE = r'^\{"\$oid":\s?"([0-9A-Za-z]+)"\}$'
 
 
 def _opens_container(text: Column) -> Column:
     return text.substr(1, 1).isin("{", "[")
 
 
-def element_scalar(value: Column, path: str) -> Column:
-    """The scalar at ``path`` as text; NULL if absent, null, an object or an array.
+def json_objects(text: Column, names: list[str]) -> Column:
+    """A JSON array's elements as structs of ``line``, the JSON text, and the named fields.
 
-    Text that merely looks like a container may be a string, so for those few
-    values the parsed document decides.
+    A field is the first of its key, as it was sent (fractions in Spark's spelling), objects
+    and arrays as JSON text; NULL for an element that is no object. Each element is parsed
+    once, each field looked up once.
+    """
+    parsed = F.transform(
+        json_elements(text),
+        lambda line: F.struct(
+            line.alias("line"), F.from_json(line, "map<string,string>").alias("fields")
+        ),
+    )
+    return F.transform(
+        parsed,
+        lambda e: F.struct(
+            e["line"].alias("line"), *[F.try_element_at(e["fields"], F.lit(n)).alias(n) for n in names]
+        ),
+    )
+
+
+def field_scalar(element: Column, name: str) -> Column:
+    """A field's scalar as text; NULL if absent, null, an object or an array.
+
+    Text that merely looks like a container may be a string, so for those few values the
+    whole element, parsed with its types, decides.
     """
-    text = element_text(value, path)
-    parsed = F.try_variant_get(F.try_parse_json(value), path, "variant")
-    container = F.schema_of_variant(parsed).rlike("^(OBJECT|ARRAY)")
+    text = element[name]
+    typed = F.try_variant_get(F.try_parse_json(element["line"]), f"$.{name}", "variant")
+    container = F.schema_of_variant(typed).rlike("^(OBJECT|ARRAY)")
     return F.when(_opens_container(text) & F.coalesce(container, F.lit(True)), None).otherwise(text)
 
 
@@ -44,7 +61,9 @@ def is_json_array(text: Column) -> Column:
 
 def object_id(text: Column) -> Column:
     """The hex id in an extended-JSON ``{"$oid": "..."}`` wrapper, else NULL."""
+    # nearly all are the wrapper and nothing else; only others are parsed
+    plain = F.nullif(F.regexp_extract(text, _OID_ALONE, 1), F.lit(""))
     from_path = F.get_json_object(text, "$.$oid")
     scalar = F.when(~_opens_container(from_path), from_path)
     from_text = F.nullif(F.regexp_extract(text, _OID_PATTERN, 1), F.lit(""))
-    return F.coalesce(scalar, from_text)
+    return F.coalesce(plain, scalar, from_text)

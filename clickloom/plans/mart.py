@@ -256,6 +256,7 @@ class Mart:
     """The written tables of one build; the fact is partitioned by ``sales_month``."""
 
     checkouts: DataFrame
+    cart_lines: DataFrame
     lines: DataFrame
     ip_locations: DataFrame
     dim_date: DataFrame
@@ -337,7 +338,7 @@ def build_mart(events: DataFrame, products: DataFrame, ip_locations: DataFrame)
     location = materialise(dim_location(checkouts, ips), "dim-location")
     sales = sales_lines(checkouts, lines, ips, product, customer, location)
     fact = materialise(by_month(fact_sales(sales)), "fact-sales", "sales_month")
-    return Mart(checkouts, lines, ips, days, customer, product, location, fact)
+    return Mart(checkouts, from_cart, lines, ips, days, customer, product, location, fact)
 
 
 _DATE_PARTS = [

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.jsontext import element_scalar, element_text, json_elements, object_id
+from clickloom.functions.jsontext import field_scalar, json_objects, object_id
 from clickloom.functions.numbers import inside, safe_divide, safe_integer, safe_numeric
 from clickloom.functions.temporal import epoch_date, epoch_timestamp
 from clickloom.operators.latest import latest_per_key
@@ -120,19 +120,24 @@ def _line_id(number: Column) -> Column:
 
 
 def cart_lines(checkouts: DataFrame) -> DataFrame:
-    """One row per cart element that names a product; numbers keep their gaps."""
+    """One row per cart element that names a product; numbers keep their gaps.
+
+    Elements leave the generator parsed: a filter on what is read from them can't be
+    pushed below it, where it would parse them again.
+    """
+    parsed = json_objects(F.col("cart_products"), PRODUCT_FIELDS + QUANTITY_FIELDS + AMOUNT_FIELDS)
     elements = checkouts.select(
         "event_id",
         "order_id",
         "currency_code",
         "price_raw",
-        F.posexplode(json_elements(F.col("cart_products"))).alias("position", "line"),
+        F.posexplode(parsed).alias("position", "element"),
     )
-    line = F.col("line")
-    ids = [element_scalar(line, f"$.{name}") for name in PRODUCT_FIELDS]
-    # a nested object's text is no number, so it needs no scalar test here
-    amounts = [safe_numeric(element_text(line, f"$.{name}")) for name in AMOUNT_FIELDS]
-    quantities = [safe_integer(element_text(line, f"$.{name}")) for name in QUANTITY_FIELDS]
+    element = F.col("element")
+    ids = [field_scalar(element, name) for name in PRODUCT_FIELDS]
+    # a nested object's text is no number, so amounts and quantities need no scalar test
+    amounts = [safe_numeric(element[name]) for name in AMOUNT_FIELDS]
+    quantities = [safe_integer(element[name]) for name in QUANTITY_FIELDS]
     number = (F.col("position") + 1).cast("bigint")
     return elements.select(
         _line_id(number).alias("line_item_id"),

@@ -314,13 +314,12 @@ def q_line_items_cart(d: Domain) -> DataFrame:
 
 @query
 def q_line_items_fallback(d: Domain) -> DataFrame:
-    checkouts = d.mart.checkouts
-    return staging.event_level_lines(checkouts, staging.cart_lines(checkouts))
+    return staging.event_level_lines(d.mart.checkouts, d.mart.cart_lines)
 
 
 @query
 def q_stg_line_items(d: Domain) -> DataFrame:
-    return staging.checkout_line_items(d.mart.checkouts)
+    return staging.checkout_line_items(d.mart.checkouts, d.mart.cart_lines)
 
 
 @query

@@ -3,7 +3,13 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.functions.jsontext import element_scalar, is_json_array, json_elements, object_id
+from clickloom.functions.jsontext import (
+    field_scalar,
+    is_json_array,
+    json_elements,
+    json_objects,
+    object_id,
+)
 from clickloom.functions.labels import crawl_outcome, metal_type, payment_label, stone_type
 from clickloom.functions.network import address_position
 from clickloom.functions.numbers import inside, safe_divide, safe_integer, safe_numeric
@@ -19,10 +25,21 @@ def values(spark, inputs, expression, kind="string"):
 
 def test_scalar_is_null_for_containers_only(spark):
     lines = ['{"id":{"v":1}}', '{"id":[1]}', '{"id":"7"}', '{"id":7}', '{"id":null}', "{}", "5", '{"id":"{x"}', '{"id":"[1]"}']
-    got = values(spark, lines, lambda c: element_scalar(c, "$.id"))
+    carts = [f"[{line}]" for line in lines]
+    got = values(spark, carts, lambda c: field_scalar(json_objects(c, ["id"])[0], "id"))
     assert got == [None, None, "7", "7", None, None, None, "{x", "[1]"]
 
 
+def test_fields_are_the_first_of_their_key_as_sent(spark):
+    line = '{"a":1.25,"a":2,"b":123456789012345678901234567890,"c":2.0,"d":true,"e":" x","f":{"y": 1}}'
+    cart = f'[{line},5,"s",[1],null,{{}}]'
+    element = lambda c: json_objects(c, list("abcdefz"))
+    for name, want in zip("abcdez", ["1.25", "123456789012345678901234567890", "2.0", "true", " x", None]):
+        assert values(spark, [cart], lambda c, n=name: element(c)[0][n]) == [want]
+    for k in range(1, 6):
+        assert values(spark, [cart], lambda c, k=k: element(c)[k]["a"]) == [None]
+
+
 def test_only_arrays_have_elements(spark):
     carts = ['[{"a":1},5,null]', '{"a":1}', "[]", None, "no json", ' [1] ']
     assert values(spark, carts, lambda c: F.size(json_elements(c))) == [3, None, 0, None, None, 1]
