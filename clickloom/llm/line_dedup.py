@@ -43,8 +43,9 @@ HOT_ROWS = 1024
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-# A fixed random value for each byte and an odd base for the positions' powers.
+# A fixed random value for each byte, nothing for white space, and an odd base for the positions' powers.
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BYTE[_SPACE] = 0
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -54,39 +55,34 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    """_BASE ** 0, 1, ..., n - 1 modulo 2 ** 64."""
-    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(0, n - 1), _BASE, np.uint64)]))
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """_BASE ** 0, 1, ..., n - 1 modulo 2 ** 64, and their inverses; the longest are kept."""
+    if len(_powers[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            factors = np.full(max(n, 2 * CHUNK), base, np.uint64)
+            factors[0] = 1
+            _powers[k] = np.cumprod(factors)
+    return _powers[0][:n], _powers[1][:n]
 
 
 def hash_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and 64-bit hash of every word in UTF-8 bytes; words end at ASCII white space.
 
-    A word's hash is a polynomial of its bytes, taken from running sums over the text.
+    A word's hash is a polynomial of its bytes. Powers run over the whole text and each
+    word's sum is brought down to its own start by the inverse power.
     """
     space = np.concatenate([[True], _SPACE[data], [True]])
     edges = np.flatnonzero(space[1:] != space[:-1])
-    starts, ends = edges[::2], edges[1::2]
+    starts = edges[::2]
     if not len(starts):
         return starts, np.zeros(0, np.uint64)
-    longest = int((ends - starts).max())
-    if longest > 1 << 16:
-        powers = _powers(len(data) + 1)
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[data] * powers[:-1])])
-        # bring the sum down to the word's own start by the inverse power
-        inverse = np.cumprod(
-            np.concatenate(
-                [[np.uint64(1)], np.full(len(data), pow(_BASE, -1, 1 << 64), np.uint64)]
-            )
-        )
-        return starts, _mix((sums[ends] - sums[starts]) * inverse[starts])
-    within = np.arange(len(data)) - np.repeat(
-        np.concatenate([[0], starts]), np.diff(np.concatenate([[0], starts, [len(data)]]))
-    )
-    within = np.minimum(within, longest)
-    values = _BYTE[data] * _powers(longest + 1)[within]
-    values[_SPACE[data]] = 0
-    return starts, _mix(np.add.reduceat(values, starts))
+    up, down = powers(len(data))
+    values = _BYTE[data]
+    values *= up
+    return starts, _mix(np.add.reduceat(values, starts) * down[starts])
 
 
 def _texts(batch: pa.RecordBatch):
@@ -238,13 +234,13 @@ def _similar(n_a, n_b, differing, threshold: float):
     return differing <= (1 - threshold) / (1 + threshold) * total + 1e-9
 
 
-_CANDIDATES = "doc_id long, line int, other_id long, other_line int, more boolean"
+_CANDIDATES = "doc_id long, line int, other_id long, other_line int, more boolean, most int"
 
 
 def _limits(n: np.ndarray, most: int | None) -> np.ndarray:
     """How many witnesses each line asks for at first."""
     if most is None:
-        return np.full(len(n), 1 << 60)
+        return np.full(len(n), (1 << 31) - 1)
     return np.where(n >= LONG_LINE, max(most, LONG_WITNESSES), most)
 
 
@@ -301,7 +297,7 @@ def _candidates(threshold: float, most: int | None):
                         more[at[place >= limit[at] - 1]] = True
                         found += np.bincount(at, minlength=len(mine))
                         left, right = mine[at[keep]], theirs[j[keep]]
-                        yield ids[left], lines[left], ids[right], lines[right], more[at[keep]]
+                        yield ids[left], lines[left], ids[right], lines[right], more[at[keep]], limit[at[keep]]
 
     def run(batches):
         held = []
@@ -340,7 +336,7 @@ def _candidates(threshold: float, most: int | None):
         tokens = columns[0]
         edges = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]]))
         sizes = np.diff(edges)
-        out = [[] for _ in range(5)]
+        out = [[] for _ in range(6)]
         # small groups together: every row against the one k places before it
         small = np.flatnonzero((sizes > 1) & (sizes <= 64))
         if len(small):
@@ -351,7 +347,7 @@ def _candidates(threshold: float, most: int | None):
                     o.append(p)
                 if sum(map(len, out[0])) > 1 << 16:
                     yield _batch(out)
-                    out = [[] for _ in range(5)]
+                    out = [[] for _ in range(6)]
         if out[0]:
             yield _batch(out)
 
@@ -365,7 +361,7 @@ def _small(columns, edges, sizes, chosen, threshold: float, most: int | None):
     first = np.repeat(edges[chosen], size)
     at = first + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     found, limit = np.zeros(len(at), np.int64), _limits(n[at], most)
-    out = [[] for _ in range(5)]
+    out = [[] for _ in range(6)]
     for k in range(int(size.max()) - 1):
         a, b = first + k, at
         use = np.flatnonzero((a < b) & asks[b] & (found < limit))
@@ -376,13 +372,15 @@ def _small(columns, edges, sizes, chosen, threshold: float, most: int | None):
         for o, values in zip(out, (ids[b], lines[b], ids[a], lines[a]), strict=False):
             o.append(values)
         out[4].append(found[use] >= limit[use])
+        out[5].append(limit[use])
     if sum(map(len, out[0])):
         yield _batch(out)
 
 
 def _batch(out) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(o)) for o in out], ["doc_id", "line", "other_id", "other_line", "more"]
+        [pa.array(np.concatenate(o)) for o in out[:5]] + [pa.array(np.concatenate(out[5]).astype(np.int32))],
+        ["doc_id", "line", "other_id", "other_line", "more", "most"],
     )
 
 
@@ -539,15 +537,25 @@ def removed_lines(
         long = lambda c: F.col(c).cast("long")
         spot = F.shiftleft(long("line"), 32).bitwiseOR(F.col("part"))
         meta = F.shiftleft(long("n"), 32).bitwiseOR(F.shiftleft(long("pos"), 1)).bitwiseOR(long("asks"))
-        return (
+        found = (
             _dealt(rows, hot)
             .select("key", "doc_id", spot.alias("spot"), meta.alias("meta"), "even", "odd")
             .repartition("key")
             .sortWithinPartitions("key")
             .mapInArrow(_candidates(threshold, most), _CANDIDATES)
-            .groupBy(*_PLACE, *_OTHER)
-            .agg(F.max("more").alias("more"))
         )
+        if most is None:
+            return found.select(*_PLACE, *_OTHER).distinct()
+        # each token names its earliest; the earliest of all are kept
+        others = F.array_sort(F.collect_set(F.struct(*_OTHER)))
+        by_line = found.groupBy(*_PLACE).agg(
+            others.alias("others"), F.max("more").alias("more"), F.max("most").alias("most")
+        )
+        return by_line.select(
+            *_PLACE,
+            F.explode(F.slice("others", F.lit(1), F.col("most"))).alias("other"),
+            (F.col("more") | (F.size("others") > F.col("most"))).alias("more"),
+        ).select(*_PLACE, "other.*", "more")
 
     pairs = materialise(candidates(FIRST_WITNESSES), "line_pairs")
     matched = materialise(_verified(plain, pairs, threshold), "matched")

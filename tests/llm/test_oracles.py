@@ -40,7 +40,14 @@ def awkward(tmp_path_factory):
         " ".join(NOTICES[2][1].split()[2:]),
     ]
     ids = [*range(len(texts)), 3]
-    docs = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array([*texts, line])})
+    n = len(ids)
+    docs = pa.table({
+        "doc_id": pa.array([*ids[:-2], None, ids[-1]], pa.int64()),
+        "text": pa.array([*texts, line]),
+        "lang": pa.array(["en", None, "é"] * n)[:n],
+        "source": pa.array(["hot", "hot", None, "", "Z", "é"] * n)[:n],
+        "n_chars": pa.array([None, *range(n - 1)], pa.int64()),
+    })
     pq.write_table(docs, folder / "documents.parquet")
     vectors = [
         (0, [0.5, -0.25, 0.001]),
