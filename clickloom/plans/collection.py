@@ -10,6 +10,7 @@ from clickloom.functions.network import address_position
 from clickloom.functions.text import key_text, non_empty, page_name
 from clickloom.operators.ranges import locate_in_ranges
 from clickloom.operators.snapshots import upsert
+from clickloom.sources.versions import VersionedTable
 
 # Events in which a visitor deals with one product.
 PRODUCT_EVENTS = [
@@ -22,6 +23,7 @@ PRODUCT_EVENTS = [
     "product_view_all_recommend_clicked",
 ]
 
+# Columns of a location, in the order in which they are delivered.
 GEO_ATTRIBUTES = [
     "country_short",
     "country_long",
@@ -147,10 +149,11 @@ def page_names(pages: DataFrame) -> DataFrame:
 
 
 def publish(events: DataFrame, path: str) -> None:
-    """Rebuild the collection tables: each step replaces its table and reads the one before."""
-    spark = events.sparkSession
-    unique_ips(events).write.mode("overwrite").parquet(f"{path}/unique_ips")
-    product_events(events).write.mode("overwrite").parquet(f"{path}/product_events")
-    interactions = spark.read.parquet(f"{path}/product_events")
-    candidates = product_candidates(interactions)
-    candidates.write.mode("overwrite").parquet(f"{path}/product_candidates")
+    """Rebuild the collection tables, each without a gap; each step reads the one before."""
+    tables = {
+        name: VersionedTable(events.sparkSession, f"{path}/{name}")
+        for name in ("unique_ips", "product_events", "product_candidates")
+    }
+    tables["unique_ips"].publish(unique_ips(events))
+    tables["product_events"].publish(product_events(events))
+    tables["product_candidates"].publish(product_candidates(tables["product_events"].read()))

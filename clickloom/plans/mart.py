@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.labels import PAYMENT_LABELS, metal_type, payment_label, stone_type
@@ -21,6 +21,7 @@ from clickloom.plans.staging import (
     latest_ip_locations,
     latest_products,
 )
+from clickloom.sources.versions import VersionedTable
 from clickloom.workspace import materialise
 
 LOCATION_COLUMNS = [
@@ -305,10 +306,10 @@ class Mart:
         }
 
     def publish(self, path: str) -> None:
-        """Replace the published tables; the build reads none of them."""
+        """Replace the published tables, each without a gap; see ``read_published``."""
         for name, df in self.tables().items():
             months = ["sales_month"] if df is self.fact else []
-            df.write.mode("overwrite").partitionBy(*months).parquet(f"{path}/{name}")
+            VersionedTable(df.sparkSession, f"{path}/{name}").publish(df, *months)
 
     def register(self) -> None:
         """Name staging, mart and reporting view for SQL users of the session."""
@@ -322,6 +323,11 @@ class Mart:
             df.createOrReplaceTempView(name)
 
 
+def read_published(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One of the mart's published tables as it is now."""
+    return VersionedTable(spark, f"{path}/{name}").read()
+
+
 def build_mart(events: DataFrame, products: DataFrame, ip_locations: DataFrame) -> Mart:
     """Stage the raw tables and write dimensions and fact.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType
@@ -15,6 +16,7 @@ from clickloom.session import tune
 from clickloom.sources import lake, routing, schemas
 from clickloom.sources.listing import list_objects
 from clickloom.sources.loader import Warehouse
+from clickloom.sources.versions import VersionedTable
 from clickloom.streaming.arrivals import ingest_available
 from clickloom.workspace import new_path
 from harness import raw_tables
@@ -211,6 +213,83 @@ def q_snapshot_rollback(d: Domain) -> DataFrame:
     return table.groupBy("snapshot", "country_short").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+#: Fixed for both sides of the comparison: shards of this size whatever the table's.
+EXPORT_SHARD = 5_000
+
+
+def _exported_lake(d: Domain) -> str:
+    """All raw tables as lake objects, events by an export that stopped and went on."""
+    root = new_path(d.spark, "lake")
+    raw = f"{root}/{routing.LAKE_PREFIX}"
+    events = d.events.select(*schemas.EVENTS.names)
+    for stop_after in (1, None):
+        lake.publish_events(events, raw, "2024-03-01", EXPORT_SHARD, shards_per_job=64, stop_after=stop_after)
+    lake.repack_reference(d.products, "products", raw, "2024-03-02", "errorifexists")
+    return root
+
+
+@query
+def q_resumed_export(d: Domain) -> DataFrame:
+    """Shards under their routes' own names, whatever run wrote them."""
+    root = _exported_lake(d)
+    path = f"{root}/{routing.LAKE_PREFIX}/events/ingest_date=2024-03-01"
+    number = F.regexp_extract("_metadata.file_name", r"-(\d+)\.", 1).cast("int")
+    rows = lake.read_events(d.spark, path).select("_id", "time_stamp", number.alias("shard"))
+    return rows.groupBy("shard").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.min("_id").alias("first_id"),
+        F.max("_id").alias("last_id"),
+        F.sum("time_stamp").alias("time_sum"),
+    )
+
+
+class _Interrupted(Warehouse):
+    """A loader during whose every load another one sets out to load the same objects."""
+
+    def __init__(self, spark: SparkSession, root: str, objects: DataFrame):
+        super().__init__(spark, root)
+        self.rival, self.objects = Warehouse(spark, root), objects
+
+    def _write(self, table: str, rows: DataFrame, folder: str) -> None:
+        super()._write(table, rows, folder)
+        self.rival.load(self.objects)
+
+
+@query
+def q_concurrent_loads(d: Domain) -> DataFrame:
+    """Two loaders at once and a third after them: every object once."""
+    root, place = _exported_lake(d), new_path(d.spark, "warehouse")
+    objects = routing.routed_objects(list_objects(d.spark, root), any_file=True)
+    _Interrupted(d.spark, place, objects).load(objects)
+    last = Warehouse(d.spark, place)
+    last.load(objects)
+    kinds = {"events": staging.event_type(), "products": F.col("status").cast("string")}
+    parts = [
+        last.table(t)
+        .groupBy("ingest_date", kind.alias("kind"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .withColumn("table_name", F.lit(t))
+        for t, kind in kinds.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def q_replaced_table(d: Domain) -> DataFrame:
+    """Readers of a table that is replaced, then replaced by a publication that fails."""
+    table = VersionedTable(d.spark, new_path(d.spark, "replaced"))
+    rows = d.products.groupBy("status").agg(F.count(F.lit(1)).alias("row_count"))
+    table.publish(rows.withColumn("version", F.lit(1)))
+    first = table.read()
+    table.publish(rows.withColumn("version", F.lit(2)))
+    broken = F.when(F.col("status") == 404, F.raise_error(F.lit("broken"))).otherwise(3)
+    try:
+        table.publish(rows.withColumn("version", broken.cast("int")))
+    except PySparkException:
+        pass
+    return first.unionByName(table.read())
+
+
 # -- collection ---------------------------------------------------------------------
 
 

@@ -384,6 +384,20 @@ FINAL: dict[str, str] = {
         from (select collection, null as campaign, cat_id from raw_ev
               union all select collection, 'c-' || cat_id, null from raw_ev) as whole
         group by collection, campaign""",
+    "q_resumed_export": f"""
+        select cast((position - 1) // 5000 as integer) as shard, count(*) as row_count,
+          min(_id) as first_id, max(_id) as last_id, cast(sum(time_stamp) as bigint) as time_sum
+        from (select _id, time_stamp, row_number() over (order by {_nulls_first(*RAW_SCHEMAS['events'].names)}) as position
+              from raw_ev) as placed
+        group by 1""",
+    "q_concurrent_loads": """
+        select 'events' as table_name, '2024-03-01' as ingest_date,
+          coalesce(event_name, collection) as kind, count(*) as row_count from raw_ev group by 3
+        union all select 'products', '2024-03-02', cast(status as varchar), count(*)
+        from raw_products group by 3""",
+    "q_replaced_table": """
+        select status, count(*) as row_count, cast(version as integer) as version
+        from raw_products, (values (1), (2)) as v(version) group by status, version""",
     "q_snapshot_rollback": """
         select 'first' as snapshot, country_short, count(*) as row_count
         from raw_ip_locations group by country_short""",

@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.sources.versions import VersionedTable
 from clickloom.plans import bi, checks, collection, diagnostics, mart, profiling, staging
 from clickloom.sources.schemas import EVENTS, IP_LOCATIONS, PRODUCTS
 
@@ -170,7 +171,7 @@ def test_publish_and_register(spark, tmp_path):
     m = build(spark, [checkout("a", product_id="1")], [], [product("1")])
     m.publish(str(tmp_path))
     m.publish(str(tmp_path))
-    assert spark.read.parquet(f"{tmp_path}/fact_sales_order_detail").count() == 1
+    assert mart.read_published(spark, str(tmp_path), "fact_sales_order_detail").count() == 1
     m.register()
     row = spark.sql("select sum(sales_amount) s, max(metal_type) m from vw_sales_performance").first()
     assert (float(row.s), row.m) == (100.0, "Not Defined")
@@ -258,7 +259,8 @@ def test_collection_tables_are_replaced(spark, tmp_path):
     row = {"collection": "view_product_detail", "product_id": "1", "current_url": "u", "ip": "1.1.1.1"}
     for _ in range(2):
         collection.publish(table(spark, EVENTS, row, row), str(tmp_path))
-    counts = [spark.read.parquet(f"{tmp_path}/{t}").count() for t in ("unique_ips", "product_events", "product_candidates")]
+    names = ("unique_ips", "product_events", "product_candidates")
+    counts = [VersionedTable(spark, f"{tmp_path}/{t}").read().count() for t in names]
     assert counts == [1, 2, 1]
 
 
