@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import map_rows, whole_text
+from clickloom.operators.joins import lookup_join
 from clickloom.workspace import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -34,7 +35,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_NUMBER_LIKE = re.compile(r"(?<![^\s:=#(\[])[0-9(][0-9().-]*(?:\x20[0-9().-]+){0,3}[0-9](?![^\s,.;:!?)\]])")
+# Runs over all groups that blanks part; how many digits there are is checked on the whole.
+_NUMBER_LIKE = re.compile(r"(?<![^\s:=#(\[])[0-9(][0-9().-]*(?:\x20[0-9().-]+)*[0-9](?![^\s,.;:!?)\]])")
+# Capital letters and digits mixed: account, passport and customer numbers, groups of four as well.
+_CODE_LIKE = re.compile(
+    r"(?<![^\s:=#(\[])(?=[A-Z]+[0-9]|[0-9]+[A-Z])[A-Z0-9]{4,34}(?:\x20[A-Z0-9]{4}(?![A-Za-z0-9])){0,7}"
+    r"(?:\x20[0-9]{1,3})?(?![^\s,.;:!?)\]])"
+)
 _ADDRESS_LIKE = re.compile(
     r"(?<![^\s:=<(\[])[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,64}"
     r"(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,64}){0,4}"
@@ -114,14 +121,20 @@ def candidates(text: str, spans: dict[str, list[tuple[int, int]]]) -> list[dict]
             for m in _NUMBER_LIKE.finditer(text)
             if 7 <= sum(c.isdigit() for c in m[0]) <= 19
         ]
+        loose += [
+            ("code", False, *m.span())
+            for m in _CODE_LIKE.finditer(text)
+            if 6 <= sum(c.isalnum() for c in m[0]) <= 34 and sum(c.isdigit() for c in m[0]) >= 4
+        ]
     if "@" in text or "(at)" in text or "[at]" in text:
         loose += [("email", False, *m.span()) for m in _ADDRESS_LIKE.finditer(text)]
     k = 0
-    for family, seed, s, e in sorted(loose, key=lambda x: x[2:]):
+    for family, seed, s, e in sorted(loose, key=lambda x: (x[2], -x[3])):
         while k < len(free) and free[k][1] < e:
             k += 1
         if k < len(free) and free[k][0] <= s:
-            found.append((family, seed, s, e))
+            if not found or family != "code" or found[-1][3] <= s:
+                found.append((family, seed, s, e))
     return [
         {
             "family": family,
@@ -129,7 +142,11 @@ def candidates(text: str, spans: dict[str, list[tuple[int, int]]]) -> list[dict]
             "start": s,
             "end": e,
             "instance": _hash(family, "".join(text[s:e].split()).lower()),
-            "patterns": [_hash(family, p) for p in lexical_patterns(text, s, e)],
+            # codes have no strict kind of their own: the contexts of numbers find them
+            "patterns": [
+                _hash("number" if family == "code" else family, p)
+                for p in lexical_patterns(text, s, e)
+            ],
         }
         for family, seed, s, e in found
     ]
@@ -189,48 +206,51 @@ def confident_instances(
 ) -> DataFrame:
     """Instances other than seeds whose patterns make them personal data.
 
-    ``seen``: (pattern, instance, seed), repeats allowed. A pattern counts from
-    ``min_seeds`` different seeds on; its score is the mean confidence of its instances
-    with one doubtful instance added. An instance's confidence is 1 for a seed, else the
-    chance that at least one of its patterns is right.
+    ``seen``: (pattern, instance, seed), repeats allowed. In every round a pattern counts
+    that holds at least ``min_seeds`` different instances that are seeds or have reached
+    ``min_confidence``; so what one pattern finds induces the next. Its score is the mean
+    confidence of its instances with one doubtful instance added. An instance's confidence
+    is 1 for a seed, else the chance that at least one of its patterns that count is right.
+
+    Edges are distinct pairs. A pattern that very many instances share is combined per
+    task before it is shuffled, and salted where instances look its score up.
     """
-    edges = seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
-    useful = (
-        edges.groupBy("pattern")
-        .agg(F.count_if("seed").alias("seeds"), F.count_if(~F.col("seed")).alias("others"))
-        .filter((F.col("seeds") >= min_seeds) & (F.col("others") > 0))
-        .select("pattern")
-    )
     edges = materialise(
-        edges.join(useful, "pattern").withColumn("confidence", F.col("seed").cast("double")),
-        "pattern_instances",
+        seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pattern_edges"
+    )
+    none = F.lit(None).cast("double")
+    known = materialise(
+        edges.where("seed").select("instance", F.lit(1.0).alias("confidence")).distinct(), "instances"
     )
     for _ in range(rounds):
-        scores = edges.groupBy("pattern").agg(
-            (F.sum("confidence") / (F.count("*") + 1)).alias("score")
+        trusted = lookup_join(edges, known, ["instance"], "left")
+        scores = (
+            trusted.groupBy("pattern")
+            .agg(
+                (F.sum(F.coalesce("confidence", F.lit(0.0))) / (F.count("*") + 1)).alias("score"),
+                F.count_if(F.col("confidence") >= min_confidence).alias("support"),
+            )
+            .where(F.col("support") >= min_seeds)
+            .select("pattern", "score")
         )
-        instances = (
-            edges.filter(~F.col("seed"))
-            .join(scores, "pattern")
-            .groupBy("instance")
-            .agg((1 - F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.999)))))).alias("new"))
+        doubt = F.sum(F.log(1 - F.least("score", F.lit(0.999))))
+        judged = lookup_join(edges, scores, ["pattern"]).groupBy("instance").agg(
+            F.max("seed").alias("seed"), (1 - F.exp(doubt)).alias("found")
         )
-        edges = materialise(
-            edges.join(instances, "instance", "left").select(
-                "pattern", "instance", "seed", F.coalesce("new", "confidence").alias("confidence")
-            ),
-            "pattern_instances",
+        seeds = edges.where("seed").select("instance", F.lit(True).alias("seed"), none.alias("found"))
+        known = materialise(
+            judged.unionByName(seeds)
+            .groupBy("instance")
+            .agg(F.max(F.when(F.col("seed"), 1.0).otherwise(F.col("found"))).alias("confidence")),
+            "instances",
         )
-    return (
-        edges.filter(~F.col("seed") & (F.col("confidence") >= min_confidence))
-        .select("instance", "confidence")
-        .distinct()
-    )
+    found = known.where(F.col("confidence") >= min_confidence)
+    return found.join(edges.where("seed").select("instance").distinct(), "instance", "left_anti")
 
 
 def find_personal_data(
     docs: DataFrame,
-    rounds: int = 3,
+    rounds: int = 4,
     min_confidence: float = 0.8,
     min_seeds: int = 3,
     id_col: str = "doc_id",
@@ -240,8 +260,9 @@ def find_personal_data(
 
     ``doc_id``; ``n_email``, ``n_ip``, ``n_card``, ``n_phone``: base matches;
     ``base_sha256``: digest of the base spans; ``spans``: kind:start:end (code points,
-    end exclusive), comma-joined: base kinds as listed, then the ``found_email`` and
-    ``found_number`` strings of confident patterns, each by start; ``n_found``.
+    end exclusive), comma-joined: base kinds as listed, then the ``found_code``,
+    ``found_email`` and ``found_number`` strings of confident patterns, each by start;
+    ``n_found``. Numbers are taken over all their groups of digits, 7 to 19 in all.
 
     Texts are read once; a narrow table of spans and candidates is written, and only
     candidates and scores are shuffled. Null and empty texts hold nothing; repeated rows
@@ -261,10 +282,11 @@ def find_personal_data(
         min_confidence,
         min_seeds,
     )
+    spans = seen.filter(~F.col("f.seed")).select(
+        "row", F.col("f.instance").alias("instance"), "f.family", "f.start", "f.end"
+    )
     found = (
-        seen.filter(~F.col("f.seed"))
-        .select("row", F.col("f.instance").alias("instance"), "f.family", "f.start", "f.end")
-        .join(confident, "instance")
+        lookup_join(spans, confident, ["instance"])
         .groupBy("row")
         .agg(F.sort_array(F.collect_list(F.struct("family", "start", "end"))).alias("extra"))
     )

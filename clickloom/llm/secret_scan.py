@@ -11,10 +11,10 @@ almost all accounted for by them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import prefix_sums, whole_text
+from clickloom.llm.common import fresh_name, prefix_sums, whole_text
 from clickloom.workspace import materialise
 
 # The base kinds in the order in which spans are listed.
@@ -179,42 +179,83 @@ def thresholds(tested: DataFrame, max_false: float) -> DataFrame:
     ).filter("least_bin IS NOT NULL")
 
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of spans (merged, sorted), so that all places stay."""
+    merged = _merged(spans)
+    pieces = F.transform(
+        merged,
+        lambda s, i: F.concat(
+            F.substring(text, _end_before(merged, i) + 1, s["s"] - _end_before(merged, i)),
+            F.repeat(F.lit(" "), s["e"] - s["s"]),
+        ),
+    )
+    rest = F.substring(text, F.element_at(merged, -1)["e"] + 1, F.length(text))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(text)
+
+
+def _end_before(merged: Column, i: Column) -> Column:
+    return F.when(i == 0, 0).otherwise(F.get(merged, i - 1)["e"])
+
+
+def _runs(tokens: DataFrame) -> DataFrame:
+    """Each candidate whole, cut at slashes, and cut at every mark: (row, run, span).
+
+    A token in a path or beside words fits an encoding only without them; a string that
+    uses the marks as digits only whole. ``run`` is where the candidate starts.
+    """
+    value, start = F.col("span.value"), F.col("span.start")
+    cuts = [F.array("span")]
+    for pattern in (r"[A-Za-z0-9+_-]{20,}", r"[A-Za-z0-9]{20,}"):
+        inner = _spans(value, pattern, "random", lambda x: x.value.rlike("[0-9]"))
+        cuts.append(
+            F.transform(
+                inner,
+                lambda s: F.struct(
+                    (s.start + start).alias("start"), (s.end + start).alias("end"), s.kind.alias("kind"), s.value.alias("value")
+                ),
+            )
+        )
+    every = F.when(value.rlike("[+/_-]"), F.array_distinct(F.concat(*cuts))).otherwise(cuts[0])
+    return tokens.select("row", start.alias("run"), F.explode(every).alias("span"))
+
+
 def _scan(docs: DataFrame, max_false: float, id_col: str, text_col: str, *extra: Column) -> DataFrame:
     """row, doc_id, base and added spans of every input row."""
     text = F.col("text")
-    scanned = (
+    based = (
         whole_text(docs, id_col, text_col)
         .select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
+            "text",
             *extra,
             _spans(text, ASSIGN, "assign", lambda x: F.length(x.group) >= 8).alias("assign"),
             _spans(text, ACCESS, "access", lambda x: x.length >= 16).alias("access"),
             _spans(text, HEX, "hex").alias("hex"),
-            _spans(text, CANDIDATE, "random", lambda x: x.value.rlike("[0-9]")).alias("loose"),
         )
         .withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
-        .select(
-            "*",
-            F.size("assign").cast("long").alias("n_assign"),
-            F.size("access").cast("long").alias("n_access"),
-            F.size("hex").cast("long").alias("n_hex"),
-            F.filter(
-                "loose",
-                lambda c: ~F.exists("base", lambda b: (b.start < c.end) & (c.start < b.end)),
-            ).alias("candidates"),
-        )
-        .drop("assign", "access", "hex", "loose")
+    )
+    # what the base finds is cut out; what stands beside it is still tested
+    scanned = based.withColumn("blanked", _blanked(text, F.col("base"))).select(
+        "row",
+        "doc_id",
+        *[c for c in based.columns if c not in {"row", "doc_id", "text", "assign", "access", "hex", "base"}],
+        "base",
+        F.size("assign").cast("long").alias("n_assign"),
+        F.size("access").cast("long").alias("n_access"),
+        F.size("hex").cast("long").alias("n_hex"),
+        _spans(F.col("blanked"), CANDIDATE, "random", lambda x: x.value.rlike("[0-9]")).alias("candidates"),
     )
     scanned = materialise(scanned, "secrets")
     tokens = scanned.filter(F.size("candidates") > 0).select(
         "row", F.explode("candidates").alias("span")
     )
     tested = (
-        randomness(tokens.select("row", "span", F.col("span.value").alias("value")))
+        randomness(_runs(tokens).select("row", "run", "span", F.col("span.value").alias("value")))
         .filter("p IS NOT NULL")
         .select(
             "row",
+            "run",
             "span",
             F.array_max(
                 F.filter(
@@ -226,9 +267,17 @@ def _scan(docs: DataFrame, max_false: float, id_col: str, text_col: str, *extra:
         )
     )
     tested = materialise(tested, "randomness")
+    # of a candidate's flagged cuts those stay that lie in no longer one
+    before = (
+        Window.partitionBy("row", "run")
+        .orderBy(F.col("span.start"), F.desc("span.end"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     added = (
         tested.join(F.broadcast(thresholds(tested, max_false)), "length_class")
         .filter("bin >= least_bin")
+        .withColumn("_reach", F.max("span.end").over(before))
+        .filter("_reach IS NULL OR span.end > _reach")
         .groupBy("row")
         .agg(F.array_sort(F.collect_list("span")).alias("added"))
     )
@@ -262,7 +311,8 @@ def find_secrets(
     ``doc_id``; ``n_assign``, ``n_access``, ``n_hex``: matches of the base patterns;
     ``base_sha256``: digest of their spans; ``spans``: kind:start:end (code points, end
     exclusive) of all spans by start, then kind, comma-joined; ``n_random``: spans that
-    the randomness tests add (outside base spans). ``max_false`` is the share of other
+    the randomness tests add (outside base spans; of a longer string, or of what slashes and
+    other marks cut from it). ``max_false`` is the share of other
     strings that may be among the added ones.
 
     Texts are read once into a narrow written table; only candidates, and at most a few
@@ -297,6 +347,11 @@ def redact_secrets(
         | F.rlike("text", F.lit(ASSIGN)),
         F.lit(False),
     )
+    clash = {"__id", "__text", "__spans"} & set(docs.columns)
+    if clash:
+        renamed = {c: fresh_name(docs, f"{c}_given") for c in clash}
+        cleaned = redact_secrets(docs.withColumnsRenamed(renamed), max_false, mark)
+        return cleaned.withColumnsRenamed({new: old for old, new in renamed.items()})
     columns = [f"`{c}`" for c in docs.columns]
     plain, docs = docs.filter(~suspect), materialise(docs.filter(suspect), "suspects")
     found = (

@@ -383,3 +383,94 @@ def test_fit_is_that_of_a_plain_optimiser():
     p = np.concatenate([[model.thresholds[0], np.log(model.thresholds[1] - model.thresholds[0])], weights])
     slope = [(loss(p + h) - loss(p - h)) / 2e-5 for h in np.eye(5) * 1e-5]
     assert np.abs(slope).max() < 2e-3
+
+
+def planted_secrets(wrap, n=300):
+    draw = np.random.default_rng(6)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    words = "the quick brown fox jumps over lazy dogs while rivers flow past old stone mills".split()
+    rows = []
+    for k in range(n):
+        token = "".join(draw.choice(letters, 36))
+        plain = "-".join(draw.choice(words, 5)) + "-2024-05-17"
+        around = " ".join(draw.choice(words, 12))
+        text = f"{around} {wrap(token, draw)} {around} https://x.io/news/{plain}/index"
+        rows.append((k, text, text.index(token), text.index(token) + 36))
+    return rows
+
+
+def hex_of(draw):
+    return "".join(draw.choice(list("0123456789abcdef"), 32))
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        lambda t, d: t,
+        lambda t, d: f"https://x.io/reset-password/{t}",
+        lambda t, d: f"https://x.io/v1/{hex_of(d)}/{t}",
+        lambda t, d: f"{hex_of(d)}/{t}",
+        lambda t, d: f"/home/user_name/{t}/x",
+    ],
+)
+def test_random_tokens_in_paths_and_beside_hex(spark, wrap):
+    rows = planted_secrets(wrap)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    found = {r.doc_id: r for r in secret_scan.find_secrets(docs).collect()}
+    spans = {k: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("random")] for k, r in found.items()}
+    caught = sum(any(a <= start and end <= b for a, b in spans[k]) for k, _, start, end in rows)
+    assert caught >= 0.9 * len(rows)
+    others = sum(not (a <= rows[k][3] and rows[k][2] <= b) for k, found_ in spans.items() for a, b in found_)
+    assert others <= 0.15 * len(rows)
+
+
+def numbers(n, seed):
+    draw = np.random.default_rng(seed)
+    return ["01 " + " ".join(f"{draw.integers(0, 100):02d}" for _ in range(4)) for _ in range(n)]
+
+
+def test_personal_data_hops_from_pattern_to_pattern(spark):
+    """Seeds teach "call me at"; its numbers teach "please dial"; that finds the others."""
+    rows, known, far = [], numbers(60, 1), numbers(6, 2)
+    for k in range(40):
+        rows.append(f"so call me at +4930123{4000 + k} tonight ok")
+    rows += [f"so call me at {n} tonight ok" for n in known]
+    rows += [f"then please dial {n} before noon ok" for n in known]
+    rows += [f"then please dial {n} before noon ok" for n in far]
+    rows += [f"the total was {1000000 + k} units in all" for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    one = {r.doc_id: r for r in pii.find_personal_data(docs, rounds=1, min_confidence=0.6).collect()}
+    found = {r.doc_id: r for r in pii.find_personal_data(docs, min_confidence=0.6).collect()}
+    hidden = range(160, 166)
+    assert not any(one[k].n_found for k in hidden)
+    for k in [*range(40, 166)]:
+        start = rows[k].index("01 ")
+        assert f"found_number:{start}:{start + 14}" in found[k].spans, rows[k]
+    assert not any(found[k].n_found for k in range(166, len(rows)))
+
+
+def test_numbers_are_whole_and_codes_are_found(spark):
+    assert [m[0] for m in pii._NUMBER_LIKE.finditer("phone: 01 23 45 67 89, or 0049 30 12 34 56 78.")] == [
+        "01 23 45 67 89",
+        "0049 30 12 34 56 78",
+    ]
+    codes = [f"AB{12345678 + 7 * k}" for k in range(8)] + ["DE89 3704 0044 0532 0130 00"]
+    rows = [f"my account is 4111111111111{k:03d} as said" for k in range(400)]
+    rows += [f"my account is {c} as said" for c in codes] + ["see ISO9001 and MP3 files"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = pii.find_personal_data(docs, min_confidence=0.6, min_seeds=3).collect()
+    by_id = {r.doc_id: r for r in found}
+    for k, code in enumerate(codes):
+        assert f"found_code:14:{14 + len(code)}" in by_id[400 + k].spans
+    assert by_id[409].n_found == 0
+
+
+def test_pattern_scores_by_hand(spark):
+    edges = [(1, s, True) for s in (10, 11, 12)] + [(1, 20, False), (1, 21, False), (2, 20, False), (2, 30, False)]
+    seen = spark.createDataFrame(edges * 2, "pattern long, instance long, seed boolean")
+    # pattern 1: three seeds of five, one doubtful added: 3 / 6, then with 20 and 21 at 0.5 each: 4 / 6
+    one = {r.instance: r.confidence for r in pii.confident_instances(seen, 1, 0.4, 3).collect()}
+    assert one == pytest.approx({20: 0.5, 21: 0.5})
+    two = {r.instance: r.confidence for r in pii.confident_instances(seen, 2, 0.4, 3).collect()}
+    assert two == pytest.approx({20: 4 / 6, 21: 4 / 6})
+    assert pii.confident_instances(seen, 3, 0.4, 4).count() == 0
