@@ -1,4 +1,4 @@
-"""Point-in-range look-up for disjoint ranges."""
+"""Point-in-range look-up for disjoint ranges, and nearest start at or before a point."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from clickloom.workspace import materialise
 
 
 def locate_in_ranges(
-    points: DataFrame, point: str, ranges: DataFrame, low: str, high: str
+    points: DataFrame, point: str, ranges: DataFrame, low: str, high: str, to_next: bool = False
 ) -> DataFrame:
     """Left look-up: each point with the columns of the range that contains it.
 
@@ -25,7 +25,8 @@ def locate_in_ranges(
     before they start, hold no point. Two ranges with a point in common raise
     ``ValueError``, copies of a range included: no single answer would be right. No pair
     of point and range is ever formed beyond the one that is kept. NULL points match
-    nothing.
+    nothing. With ``to_next`` a range reaches up to the next one's start, whatever its end;
+    starts must differ.
     """
     rows = materialise(points, "range-points").withColumn("_row", F.monotonically_increasing_id())
     payload = F.struct(*[F.col(f"`{c}`") for c in ranges.columns])
@@ -65,7 +66,7 @@ def locate_in_ranges(
     in_order = Window.partitionBy("_part").orderBy("_place")
 
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    overlapping = (
+    overlapping = None if to_next else (
         written.where("_kind = 0")
         .withColumn("_so_far", F.max("_high").over(before))
         .join(F.broadcast(carried), "_part")
@@ -83,7 +84,9 @@ def locate_in_ranges(
         .join(F.broadcast(carried), "_part")
         .withColumn("_near", F.coalesce("_here", "_carried"))
     )
-    hit = F.when(F.col("_pos") <= F.col(f"_near.{high}"), F.col("_near"))
+    hit = F.col("_near")
+    if not to_next:
+        hit = F.when(F.col("_pos") <= F.col(f"_near.{high}"), hit)
     located = nearest.where(hit.isNotNull()).select(F.col("_pos").alias(point), hit.alias("_hit"))
     return lookup_join(rows, located, [point], "left", "_row").select(
         *points.columns, *[F.col(f"_hit.{c}").alias(c) for c in ranges.columns]

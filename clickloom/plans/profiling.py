@@ -69,10 +69,14 @@ def null_and_approx_distinct(df: DataFrame, table: str) -> DataFrame:
 
 def approx_distinct_check(df: DataFrame, table: str) -> DataFrame:
     """NULLs per column, and whether the estimate lies within four standard errors of the exact count."""
-    estimate = null_and_approx_distinct(df, table)
+    return within_bound(null_and_approx_distinct(df, table), exact_distinct(df, table))
+
+
+def within_bound(estimate: DataFrame, exact: DataFrame) -> DataFrame:
+    """Estimates beside exact counts: within four standard errors?"""
     off = F.abs(F.col("approx_distinct") - F.col("distinct_count"))
     bound = F.greatest(F.lit(2.0), 4 * 0.0163 * F.col("distinct_count"))
-    return estimate.join(exact_distinct(df, table), "column").select(
+    return estimate.join(exact, "column").select(
         "column", "null_count", (off <= bound).alias("within_bound")
     )
 
@@ -154,12 +158,21 @@ def kpis(df: DataFrame, table: str) -> DataFrame:
 
 
 def schema_report(df: DataFrame, table: str) -> DataFrame:
-    """Columns of the raw table with declared type and nullability."""
+    """Columns of the raw table with declared type, nullability and NULLs found.
+
+    JSON columns are not profiled: they are listed as skipped, without a count.
+    """
     rows = [
-        (n, declared_type(table, n), "REQUIRED" if n in REQUIRED[table] else "NULLABLE")
+        (
+            n,
+            declared_type(table, n),
+            "REQUIRED" if n in REQUIRED[table] else "NULLABLE",
+            "skipped (semi-structured)" if n in SEMI_STRUCTURED[table] else "profiled",
+        )
         for n in RAW_SCHEMAS[table].names
     ]
-    return df.sparkSession.createDataFrame(rows, "column string, type string, mode string")
+    declared = df.sparkSession.createDataFrame(rows, "column string, type string, mode string, profile string")
+    return declared.join(null_counts(df, table), "column", "left")
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

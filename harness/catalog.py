@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +12,16 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType
 
 from clickloom.functions.labels import metal_type, payment_label, stone_type
 from clickloom.operators.keys import with_dense_key
-from clickloom.plans import bi, checks, collection, diagnostics, mart, profiling, staging
+from clickloom.operators.keyed_table import KeyedTable
+from clickloom.plans import bi, checks, collection, diagnostics, mart, profiling, sketches, staging
+from clickloom.plans.order_bitmaps import distinct_orders, order_bitmaps
 from clickloom.session import tune
 from clickloom.sources import lake, routing, schemas
 from clickloom.sources.listing import list_objects
 from clickloom.sources.loader import Warehouse
 from clickloom.sources.versions import VersionedTable
 from clickloom.streaming.arrivals import ingest_available
-from clickloom.workspace import new_path
+from clickloom.workspace import materialise, new_path
 from harness import raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -353,6 +356,26 @@ def q_upsert_ip_locations(d: Domain) -> DataFrame:
     return collection.upsert_ip_locations(old, new)
 
 
+def _touched(d: Domain, old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    table = KeyedTable(d.spark, new_path(d.spark, "keyed"), key, rows_per_file=500)
+    table.replace(old)
+    table.upsert(new, [F.col("updated_at").desc_nulls_last()])
+    return table.read()
+
+
+@query
+def q_upsert_touched_products(d: Domain) -> DataFrame:
+    """The rows of ``q_upsert_products``, by rewriting the files that the batch touches."""
+    old, new = _old_and_new(d.products.drop("ingest_date"))
+    return _touched(d, old, new, "product_id")
+
+
+@query
+def q_upsert_touched_ips(d: Domain) -> DataFrame:
+    old, new = _old_and_new(d.ip_locations.drop("ingest_date"))
+    return _touched(d, old, new, "ip")
+
+
 @query
 def q_page_names(d: Domain) -> DataFrame:
     return collection.page_names(d.derived("raw_pages"))
@@ -512,6 +535,26 @@ def q_bi_orders_by_day(d: Domain) -> DataFrame:
     return bi.orders_by(d.mart.view("full_date", "order_id"), "full_date")
 
 
+@query
+def q_bi_orders_united(d: Domain) -> DataFrame:
+    """Distinct orders by day, week, month and country, all from one table of bitmaps."""
+    view = d.mart.view("full_date", "country_name", "order_id")
+    stored = materialise(order_bitmaps(view, ["country_name"]), "order-bitmaps")
+    day = F.col("full_date").cast("timestamp_ntz")
+    labels = {
+        "day": F.col("full_date").cast("string"),
+        "week": F.date_trunc("week", day).cast("date").cast("string"),
+        "month": F.date_trunc("month", day).cast("date").cast("string"),
+        "country": F.col("country_name"),
+        "all": F.lit("all"),
+    }
+    parts = [
+        distinct_orders(stored, F.lit(level), label).toDF("level", "label", "order_count")
+        for level, label in labels.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def q_bi_trend_by_week(d: Domain) -> DataFrame:
     return bi.trend(d.mart.view("full_date", "order_id", "sales_amount"), "week")
@@ -603,6 +646,19 @@ def q_profile_approx_distinct(d: Domain) -> DataFrame:
     return d.per_table(profiling.approx_distinct_check)
 
 
+@query
+def q_profile_incremental(d: Domain) -> DataFrame:
+    """As ``q_profile_approx_distinct``, from sketches stored date by date."""
+
+    def report(df: DataFrame, table: str) -> DataFrame:
+        store = sketches.ProfileStore(d.spark, new_path(d.spark, f"sketches-{table}"), table)
+        store.add(df.where("ingest_date <= '2024-03-02'"))
+        store.add(df)
+        return profiling.within_bound(store.report(), profiling.exact_distinct(df, table))
+
+    return d.per_table(report)
+
+
 @query
 def q_profile_type_check(d: Domain) -> DataFrame:
     return d.per_table(profiling.type_check)
@@ -640,6 +696,42 @@ def q_test_relationships(d: Domain) -> DataFrame:
     return checks.relationships_report(d.models())
 
 
+def _faulty(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The models with repeated ids, missing values and orphans put in by rule."""
+    checkouts, fact = models["stg_checkout_events"], models["fact_sales_order_detail"]
+    checkouts = checkouts.unionByName(checkouts.where(F.col("event_id").endswith("0")))
+    fact = fact.unionByName(fact.where("sales_order_line_key % 13 = 0"))
+    key = F.col("sales_order_line_key")
+    return models | {
+        "stg_checkout_events": checkouts.withColumn(
+            "event_date", F.when(~F.col("event_id").endswith("1"), F.col("event_date"))
+        ),
+        "fact_sales_order_detail": fact.withColumns(
+            {
+                "product_key": F.when(key % 7 != 0, F.col("product_key")),
+                "customer_key": F.when(key % 11 == 0, -F.col("customer_key")).otherwise(F.col("customer_key")),
+            }
+        ),
+    }
+
+
+@query
+def q_test_faults(d: Domain) -> DataFrame:
+    """All three kinds of data tests on models that have faults."""
+    models = _faulty(d.models())
+    parts = [
+        checks.unique_report(models).withColumn("test", F.lit("unique")),
+        checks.not_null_report(models).withColumn("test", F.lit("not_null")),
+        checks.relationships_report(models).withColumn("test", F.lit("relationship")),
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+@query
+def q_profile_schema(d: Domain) -> DataFrame:
+    return d.per_table(profiling.schema_report)
+
+
 @query
 def q_debug_event_ids(d: Domain) -> DataFrame:
     return diagnostics.event_id_report(d.events)

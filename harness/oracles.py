@@ -8,14 +8,11 @@ from __future__ import annotations
 
 import re
 
-from clickloom.sources.schemas import DECLARED_TYPES, RAW_SCHEMAS, SEMI_STRUCTURED
+from clickloom.plans.collection import PRODUCT_EVENTS
+from clickloom.sources.schemas import DECLARED_TYPES, RAW_SCHEMAS, REQUIRED, SEMI_STRUCTURED, declared_type
 from harness import raw_tables
 
-PRODUCT_COLLECTIONS = (
-    "'view_product_detail', 'select_product_option', 'select_product_option_quality', "
-    "'add_to_cart_action', 'product_detail_recommendation_visible', "
-    "'product_detail_recommendation_noticed', 'product_view_all_recommend_clicked'"
-)
+PRODUCT_COLLECTIONS = ", ".join(f"'{name}'" for name in PRODUCT_EVENTS)
 
 
 def _scalar(field: str) -> str:
@@ -325,17 +322,21 @@ _FILLED = _UNIQUE + """stg_checkout_events.event_date stg_checkout_line_items.ev
     fact_sales_order_detail.product_key fact_sales_order_detail.location_key""".split()
 
 
-def _check(target: str, failures: str) -> str:
+_FAULTY = {"co": "bad_co", "fact": "bad_fact"}
+
+
+def _check(target: str, failures: str, faulty: bool = False) -> str:
     model, column = target.split(".")
-    body = failures.format(t=_CHECKED[model], c=column)
+    part = _CHECKED[model]
+    body = failures.format(t=_FAULTY.get(part, part) if faulty else part, c=column)
     return f"select '{model}' as model, '{column}' as column_name, ({body}) as failures"
 
 
-def _orphans(dimension: str) -> str:
+def _orphans(dimension: str, fact: str = "fact") -> str:
     model, key = f"dim_{dimension}", f"{dimension}_key"
     return (
         f"select 'fact_sales_order_detail' as model, '{key}' as column_name, '{model}' as parent, "
-        f"(select count(*) from fact where {key} is not null "
+        f"(select count(*) from {fact} where {key} is not null "
         f"and {key} not in (select {key} from d_{dimension})) as failures"
     )
 
@@ -357,6 +358,17 @@ _IP_NUMBER = (
     "+ cast(split_part({0}, '.', 4) as bigint) else -1 - cast(split_part({0}, '::', 2) as bigint) end"
 )
 
+_TWICE = "select count(*) from (select {c} from {t} where {c} is not null group by {c} having count(*) > 1) as twice"
+
+PARTS["bad_co"] = """
+    select * replace (case when event_id not like '%1' then event_date end as event_date)
+    from (select * from co union all select * from co where event_id like '%0') as doubled"""
+PARTS["bad_fact"] = """
+    select * replace (
+        case when sales_order_line_key % 7 <> 0 then product_key end as product_key,
+        case when sales_order_line_key % 11 = 0 then -customer_key else customer_key end as customer_key)
+    from (select * from fact union all select * from fact where sales_order_line_key % 13 = 0) as doubled"""
+
 FINAL: dict[str, str] = {
     "q_scan_events": f"select {', '.join(RAW_SCHEMAS['events'].names)} from raw_ev",
     "q_scan_ip_locations": "select ip, country_short, country_long, region, city, latitude, longitude, "
@@ -437,6 +449,8 @@ FINAL: dict[str, str] = {
         ) as outcome""",
     "q_upsert_products": _upsert("raw_products", "product_id"),
     "q_upsert_ip_locations": _upsert("raw_ip_locations", "ip"),
+    "q_upsert_touched_products": _upsert("raw_products", "product_id"),
+    "q_upsert_touched_ips": _upsert("raw_ip_locations", "ip"),
     "q_page_names": f"""
         select page_id, url, coalesce(
           {_shown("regexp_extract(html, '<meta property=.og:title. content=.([^>]*?).>', 1)")},
@@ -504,6 +518,16 @@ FINAL: dict[str, str] = {
                 count(distinct full_date) as sales_days from vw) as totals""",
     "q_bi_revenue_by_day": f"select cast(full_date as varchar) as full_date, {_REVENUE} from vw group by 1",
     "q_bi_orders_by_day": f"select cast(full_date as varchar) as full_date, {_ORDERS} from vw group by 1",
+    "q_bi_orders_united": " union all ".join(
+        f"select '{level}' as level, {label} as label, {_ORDERS} from vw group by 2"
+        for level, label in {
+            "day": "cast(full_date as varchar)",
+            "week": "cast(cast(date_trunc('week', full_date) as date) as varchar)",
+            "month": "cast(cast(date_trunc('month', full_date) as date) as varchar)",
+            "country": "country_name",
+            "all": "'all'",
+        }.items()
+    ),
     "q_bi_trend_by_week": f"""
         select cast(cast(date_trunc('week', full_date) as date) as varchar) as period_start, {_REVENUE}, {_ORDERS}
         from vw group by 1""",
@@ -570,6 +594,10 @@ FINAL: dict[str, str] = {
         lambda source, t, c: f"select '{t}' as table_name, '{c}' as \"column\", "
         f"count(*) - count({c}) as null_count, true as within_bound from {source}"
     ),
+    "q_profile_incremental": _per_table(
+        lambda source, t, c: f"select '{t}' as table_name, '{c}' as \"column\", "
+        f"count(*) - count({c}) as null_count, true as within_bound from {source}"
+    ),
     "q_profile_distinct": _per_table(
         lambda source, t, c: f"select '{t}' as table_name, '{c}' as \"column\", "
         f"count(distinct {c}) as distinct_count from {source}"
@@ -587,9 +615,24 @@ FINAL: dict[str, str] = {
           cast(matched_count as double) / event_count as match_ratio
         from (select count(*) as event_count, count(*) filter (where ip in
                 (select ip from raw_ip_locations)) as matched_count from raw_ev) as totals""",
-    "q_test_unique": " union all ".join(
-        _check(x, "select count(*) from (select {c} from {t} where {c} is not null group by {c} having count(*) > 1) as twice")
-        for x in _UNIQUE
+    "q_test_unique": " union all ".join(_check(x, _TWICE) for x in _UNIQUE),
+    "q_test_faults": " union all by name ".join(
+        f"select *, '{test}' as test from ({body})"
+        for test, bodies in {
+            "unique": [_check(x, _TWICE, True) for x in _UNIQUE],
+            "not_null": [_check(x, "select count(*) from {t} where {c} is null", True) for x in _FILLED],
+            "relationship": [_orphans(d, "bad_fact") for d in ("date", "customer", "product", "location")],
+        }.items()
+        for body in bodies
+    ),
+    "q_profile_schema": " union all ".join(
+        f"select '{t}' as table_name, '{c}' as \"column\", '{declared_type(t, c)}' as type, "
+        f"'{'REQUIRED' if c in REQUIRED[t] else 'NULLABLE'}' as mode, "
+        f"'{'skipped (semi-structured)' if c in SEMI_STRUCTURED[t] else 'profiled'}' as profile, "
+        + ("cast(null as bigint)" if c in SEMI_STRUCTURED[t] else f"(select count(*) - count({c}) from {source})")
+        + " as null_count"
+        for t, source in (("events", "raw_ev"), ("ip_locations", "raw_ip_locations"), ("products", "raw_products"))
+        for c in RAW_SCHEMAS[t].names
     ),
     "q_test_not_null": " union all ".join(
         _check(x, "select count(*) from {t} where {c} is null") for x in _FILLED

@@ -8,7 +8,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.plans import sketches
+from clickloom.plans.order_bitmaps import distinct_orders, order_bitmaps
 from clickloom.sources.versions import VersionedTable
+from clickloom.workspace import materialise
 from clickloom.plans import bi, checks, collection, diagnostics, mart, profiling, staging
 from clickloom.sources.schemas import EVENTS, IP_LOCATIONS, PRODUCTS
 
@@ -210,7 +213,8 @@ def test_range_of_days_reads_its_months_only(spark, tmp_path):
     filters = re.findall(r"PartitionFilters: \[([^]]*sales_month[^]]*)\]", plan)
     assert filters and all("202402" in f for f in filters)
     m.publish(str(tmp_path))
-    folders = {f for f in os.listdir(tmp_path / "fact_sales_order_detail") if f.startswith("sales_month")}
+    published = VersionedTable(spark, f"{tmp_path}/fact_sales_order_detail").current()
+    folders = {f for f in os.listdir(published) if f.startswith("sales_month")}
     assert {"sales_month=202401", "sales_month=202402", "sales_month=202403"} < folders
 
 
@@ -328,3 +332,36 @@ def test_diagnostics(spark):
     staged = staging.checkout_events(events)
     assert tuple(diagnostics.line_item_report(staged).first()) == (2, 1, 2, 2, 1)
     assert diagnostics.carts(events, 2).count() == 2
+
+
+def test_sketches_scan_new_dates_only(spark, tmp_path):
+    rows = [{"ip": f"1.1.1.{k % 50}", "product_id": str(k)} for k in range(600)]
+    raw = table(spark, EVENTS, *rows).withColumn("ingest_date", F.concat(F.lit("2024-03-0"), 1 + F.col("product_id").cast("int") % 3))
+    path = str(tmp_path / "raw")
+    raw.write.partitionBy("ingest_date").parquet(path)
+    stored = spark.read.schema(raw.schema).parquet(path)
+    store = sketches.ProfileStore(spark, str(tmp_path / "sketches"), "events")
+    assert store.add(stored.where("ingest_date < '2024-03-03'")) == ["2024-03-01", "2024-03-02"]
+    plan = sketches.sketch_rows(stored.where(F.col("ingest_date").isin(store.missing_dates(stored))), "events")
+    assert {f.rsplit("ingest_date=", 1)[1][:10] for f in plan.inputFiles()} == {"2024-03-03"} or "PartitionFilters: [isnotnull" in plan._jdf.queryExecution().executedPlan().toString()
+    assert store.add(stored) == ["2024-03-03"] and store.add(stored) == []
+    assert store.rows().count() == 3 * len(profiling.scalar_columns("events"))
+    exact = {r.column: r.distinct_count for r in profiling.exact_distinct(stored, "events").collect()}
+    for r in store.report().collect():
+        assert abs(r.approx_distinct - exact[r.column]) <= max(2, 0.07 * exact[r.column])
+        assert r.null_count == (0 if exact[r.column] else 600)
+    day = {r.column: r.approx_distinct for r in store.report("2024-03-02", "2024-03-02").collect()}
+    assert abs(day["product_id"] - 200) <= 14
+    # a date whose rows changed is taken again
+    assert store.add(stored.where("ip <> '1.1.1.0'"), again=["2024-03-01"]) == ["2024-03-01"]
+
+
+def test_order_bitmaps_add_up(spark):
+    data = [(f"o{k % 700}", f"2024-03-{1 + k % 9:02d}", "AB"[k % 2]) for k in range(3000)] + [(None, "2024-03-01", "A"), ("o1", None, None)]
+    view = spark.createDataFrame(data, "order_id string, full_date string, country string").withColumn("full_date", F.col("full_date").cast("date"))
+    stored = materialise(order_bitmaps(view, ["country"]), "bitmaps")
+    for dims in ([], ["country"], ["full_date"], ["full_date", "country"]):
+        got = {tuple(r)[:-1]: r.order_count for r in distinct_orders(stored, *dims).collect()}
+        want = {tuple(r)[:-1]: r.n for r in view.groupBy(*dims).agg(F.count_distinct("order_id").alias("n")).collect()}
+        assert got == {k: n for k, n in want.items() if n}
+    assert distinct_orders(order_bitmaps(view.limit(0), ["country"]), "country").count() == 0

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.joins import lookup_join, spread_nulls
+from clickloom.operators.keyed_table import KeyedTable
 from clickloom.operators.keys import with_dense_key
 from clickloom.operators.latest import latest_per_key
 from clickloom.operators.ranges import locate_in_ranges
@@ -155,3 +156,53 @@ def test_upsert_keeps_last_write_and_is_repeatable(spark):
     )
     twice = upsert(once, new, ["k"], [F.desc_nulls_last("t")])
     assert rows(twice) == rows(once)
+
+
+def keyed(spark, tmp_path, n=2000, size=100):
+    table = KeyedTable(spark, f"{tmp_path}/t", "k", rows_per_file=size)
+    base = spark.range(n).select(F.format_string("k%06d", F.col("id") * 10).alias("k"), F.lit(0).alias("v"), F.lit("x").alias("file"))
+    table.replace(base)
+    return table, base
+
+
+def names(table):
+    return {r.file for r in table.files().collect()}
+
+
+def test_upsert_rewrites_touched_files_only(spark, tmp_path, small_scans):
+    table, base = keyed(spark, tmp_path)
+    before = names(table)
+    # one percent of the keys, close together; some are new and lie between old ones
+    batch = spark.createDataFrame([(f"k{k:06d}", 1, "y") for k in range(10_000, 10_200, 5)], "k string, v int, file string")
+    merge = table.upsert(batch, [F.col("v").desc()])
+    after = names(table)
+    assert len(before) >= 15 and merge.kept == len(before & after) >= len(before) - 3
+    assert merge.rewritten == len(before - after) and merge.written == len(after - before)
+    assert rows(table.read()) == rows(upsert(base, batch, ["k"], [F.col("v").desc()]))
+    spans = sorted((r.low, r.high) for r in table.files().collect())
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_upsert_at_both_ends_nulls_and_ties(spark, tmp_path):
+    table, base = keyed(spark, tmp_path, 300)
+    expected = base
+    for keys in (["a", "z", "zz"], [None, None, "a"], ["k000010", "k000010", "m"], []):
+        batch = spark.createDataFrame([(k, i, "y") for i, k in enumerate(keys)], "k string, v int, file string")
+        table.upsert(batch, [F.col("v").desc()])
+        expected = materialise(upsert(expected, batch, ["k"], [F.col("v").desc()]), "expected")
+        assert rows(table.read()) == rows(expected)
+
+
+def test_upsert_into_an_empty_table(spark, tmp_path):
+    table, base = keyed(spark, tmp_path, 0)
+    assert table.read().columns == base.columns and table.read().count() == 0
+    batch = spark.createDataFrame([("b", 1, "y"), ("a", 2, "y")], "k string, v int, file string")
+    table.upsert(batch, [F.col("v").desc()])
+    assert rows(table.read()) == rows(batch)
+
+
+def test_nearest_start(spark, small_scans):
+    points = spark.createDataFrame([("a",), ("c",), ("c5",), ("z",), (None,)], "p string")
+    starts = spark.createDataFrame([("c", 1), ("f", 2)], "low string, tag int")
+    got = {r.p: r.tag for r in locate_in_ranges(points, "p", starts, "low", "low", to_next=True).collect()}
+    assert got == {"a": None, "c": 1, "c5": 1, "z": 2, None: None}
