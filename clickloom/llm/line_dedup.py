@@ -33,7 +33,7 @@ COUNT_BITS, LINE_BITS = 18, 23
 #: Bytes of text that are hashed at once in a task.
 CHUNK = 1 << 18
 #: Earlier candidates of a line and token that go to the first verification.
-FIRST_WITNESSES = 6
+FIRST_WITNESSES = 3
 #: The bitmaps tell little about lines of so many words; more of their candidates go there.
 LONG_LINE, LONG_WITNESSES = 200, 64
 #: Lines of a token that are compared with one another at once.
@@ -331,9 +331,15 @@ def _candidates(threshold: float, most: int | None):
 
     def emit(parts):
         columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-        order = np.lexsort((columns[2], columns[1], columns[0]))
+        tokens = columns[0]
+        edges = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]]))
+        # a token of one line finds nothing; the others' lines are put in order
+        shared = np.flatnonzero(np.repeat(np.diff(edges) > 1, np.diff(edges)))
+        order = shared[np.lexsort((columns[2][shared], columns[1][shared], tokens[shared]))]
         columns = [c[order] for c in columns]
         tokens = columns[0]
+        if not len(tokens):
+            return
         edges = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]]))
         sizes = np.diff(edges)
         out = [[] for _ in range(6)]
@@ -355,19 +361,35 @@ def _candidates(threshold: float, most: int | None):
 
 
 def _small(columns, edges, sizes, chosen, threshold: float, most: int | None):
-    """Candidates within small groups, for all of them at once, nearest to the first row first."""
+    """Candidates within small groups, for all of them at once, nearest to the first row first.
+
+    The filters go one after the other, each on what the one before it left.
+    """
     _, ids, lines, asks, n, pos, part, *parity = columns
     size = sizes[chosen]
     first = np.repeat(edges[chosen], size)
     at = first + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    front = pos < index_length(n, threshold)
+    asks, some_parts = asks[at], part.any()
     found, limit = np.zeros(len(at), np.int64), _limits(n[at], most)
     out = [[] for _ in range(6)]
+    left = np.arange(len(at))
     for k in range(int(size.max()) - 1):
-        a, b = first + k, at
-        use = np.flatnonzero((a < b) & asks[b] & (found < limit))
-        a, b = a[use], b[use]
-        ok = _possible(a, b, n, pos, part, parity, threshold)
-        a, b, use = a[ok], b[ok], use[ok]
+        # rows that have earlier ones left, and ask for more
+        left = left[(first[left] + k < at[left]) & asks[left] & (found[left] < limit[left])]
+        a, b = first[left] + k, at[left]
+        na, nb = n[a], n[b]
+        ok = (front[a] | (na > nb)) & (front[b] | (nb > na))
+        ok &= np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9
+        use, a, b = left[ok], a[ok], b[ok]
+        na, nb, pa_, pb = n[a], n[b], pos[a], pos[b]
+        ok = np.minimum(na - pa_, nb - pb) + np.minimum(pa_, pb) >= (
+            threshold / (1 + threshold) * (na + nb) - 1e-9
+        )
+        if some_parts:
+            ok &= (part[a] == 0) | (part[a] != part[b])
+        ok &= _similar(na, nb, sum(np.bitwise_count(p[a] ^ p[b]) for p in parity), threshold)
+        use, a, b = use[ok], a[ok], b[ok]
         found[use] += 1
         for o, values in zip(out, (ids[b], lines[b], ids[a], lines[a]), strict=False):
             o.append(values)
