@@ -180,6 +180,7 @@ def train(
     )
 
     def rows(incoming):
+        release_worker()
         features = Features()
         for row in incoming:
             yield {

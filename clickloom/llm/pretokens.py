@@ -59,7 +59,7 @@ class _Cache(dict):
 class CachedIds:
     """Ids of a text as little-endian unsigned 32-bit integers, by any encoder of pre-tokens."""
 
-    def __init__(self, encode: Callable[[str], list[int]], pattern: str, entries: int = 700_000):
+    def __init__(self, encode: Callable[[str], list[int]], pattern: str, entries: int = 560_000):
         split = regex.compile(pattern).findall
 
         def pack(pretoken: str) -> bytes:
