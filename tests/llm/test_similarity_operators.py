@@ -241,3 +241,29 @@ def test_pipeline(spark):
     assert sizes == sorted(sizes, reverse=True) and sizes[3] == sizes[4] > 0
     packed = corpus_pipeline.run(spark, SMALL)
     assert packed.select("doc_id").distinct().count() == sizes[-1]
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Null and repeated ids, empty and null texts, clashing names: no text of its own goes."""
+    given = spark.read.parquet(f"{SMALL}/documents.parquet").limit(30)
+    unlike = ["one text that stands alone among all these rows here", "quite another text under the very same id, unlike it"]
+    rows = [(7, unlike[0]), (7, unlike[1]), (None, "a row that has no id but words of its own, eleven in all"), (8, None), (9, "")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in given.columns[2:]:
+        odd = odd.withColumn(name, F.lit(None).cast(given.schema[name].dataType))
+    docs = given.unionByName(odd.select(given.columns)).withColumn("_row", F.lit(1)).withColumn("__id", F.lit("x"))
+    path = str(tmp_path / "docs")
+    docs.write.parquet(path)
+    docs = spark.read.parquet(path)
+    wanted = {t for _, t in rows if t}
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        docs_out = stage(spark, docs, SMALL)
+        assert docs_out.columns == docs.columns
+        out = str(tmp_path / name)
+        docs_out.write.parquet(out)
+        docs = spark.read.parquet(out)
+        assert wanted <= {r.text for r in docs.collect()}, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() > 0
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SMALL).count() == 0
