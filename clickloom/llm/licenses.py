@@ -13,6 +13,8 @@ what the bands retrieve.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +25,10 @@ SHINGLE, BANDS = 5, 48
 #: Most template rows. What is broadcast has this bound, whatever the corpus.
 MOST_TEMPLATES = 2000
 
-# Notices by which public licenses are usually named in a text.
-NOTICES = (
+# Fixed values, down to _WORDINGS: what public licenses say of themselves.
+
+# Sentences by which they are usually named.
+_SENTENCES = (
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
@@ -53,6 +57,163 @@ NOTICES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+# Headers and paragraphs of the licenses. At 0.8 containment one of 45 words stands an
+# edited word or two; longer ones are stated paragraph by paragraph.
+_PARAGRAPHS = (
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of"
+        " the GNU Affero General Public License as published by the Free Software Foundation, either"
+        " version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file'
+        " except in compliance with the License. You may obtain a copy of the License at",
+    ),
+    (
+        "Apache-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the"
+        ' License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND,'
+        " either express or implied.",
+    ),
+    (
+        "BSD",
+        "Redistributions of source code must retain the above copyright notice, this list of"
+        " conditions and the following disclaimer.",
+    ),
+    (
+        "BSD",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of"
+        " conditions and the following disclaimer in the documentation and/or other materials"
+        " provided with the distribution.",
+    ),
+    (
+        "BSL-1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a"
+        " copy of the software and accompanying documentation covered by this license",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the"
+        " Eclipse Public License 2.0",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of"
+        " the GNU General Public License as published by the Free Software Foundation; either"
+        " version 2 of the License, or (at your option) any later version.",
+    ),
+    (
+        "GPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of"
+        " the GNU General Public License as published by the Free Software Foundation, either"
+        " version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of"
+        " the GNU Lesser General Public License as published by the Free Software Foundation; either"
+        " version 2.1 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of"
+        " the GNU Lesser General Public License as published by the Free Software Foundation, either"
+        " version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "MIT",
+        "to deal in the Software without restriction, including without limitation the rights to"
+        " use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the"
+        " Software, and to permit persons to whom the Software is furnished to do so",
+    ),
+    (
+        "MIT",
+        "The above copyright notice and this permission notice shall be included in all copies or"
+        " substantial portions of the Software.",
+    ),
+    (
+        "MPL-2.0",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at"
+        " http://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "Unlicense",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software,"
+        " either in source code form or as a compiled binary, for any purpose, commercial or"
+        " non-commercial, and by any means.",
+    ),
+    (
+        "Zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial"
+        " applications, and to alter it and redistribute it freely, subject to the following"
+        " restrictions",
+    ),
+)
+
+# Names that a short notice puts after one of _WORDINGS.
+_NAMES = (
+    ("AGPL-3.0", ("GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0")),
+    ("Apache-2.0", ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License")),
+    ("BSD", ("BSD License", "BSD 3-Clause License", "BSD 2-Clause License", "3-Clause BSD License")),
+    ("BSL-1.0", ("Boost Software License, Version 1.0", "Boost Software License 1.0")),
+    ("EPL-2.0", ("Eclipse Public License 2.0", "Eclipse Public License v2.0")),
+    ("GPL-2.0", ("GNU General Public License, version 2", "GNU General Public License v2.0", "GNU GPL v2")),
+    ("GPL-3.0", ("GNU General Public License, version 3", "GNU General Public License v3.0", "GNU GPL v3")),
+    ("ISC", ("ISC License",)),
+    ("LGPL-2.1", ("GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1")),
+    ("LGPL-3.0", ("GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0")),
+    ("MIT", ("MIT License",)),
+    ("MPL-2.0", ("Mozilla Public License, version 2.0", "Mozilla Public License 2.0")),
+)
+
+# Creative Commons licenses: the code in names and addresses, and the long name.
+_COMMONS = (
+    ("BY", "Attribution"),
+    ("BY-NC", "Attribution-NonCommercial"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+    ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-ND", "Attribution-NoDerivatives"),
+    ("BY-SA", "Attribution-ShareAlike"),
+)
+
+_WORDINGS = (
+    "Licensed under the {}",
+    "Released under the {}",
+    "Distributed under the {}",
+    "Available under the {}",
+    "Under the terms of the {}",
+)
+
+
+def _templates() -> tuple[tuple[str, str], ...]:
+    """Sentences, paragraphs, names in every wording, Creative Commons forms and SPDX lines.
+
+    An SPDX line of four words (``MIT``, ``ISC``) is too short for a shingle and left out.
+    """
+    found = [*_SENTENCES, *_PARAGRAPHS]
+    found += [(code, wording.format(name)) for code, names in _NAMES for name in names for wording in _WORDINGS]
+    for code, name in _COMMONS:
+        license = f"CC-{code}-4.0"
+        found += [
+            (license, f"Licensed under CC {code} 4.0"),
+            (license, f"Licensed under a Creative Commons {name} 4.0 International License"),
+            (license, f"Licensed under the Creative Commons {name} 4.0 International License"),
+            (license, f"creativecommons.org/licenses/{code.lower()}/4.0"),
+            (license, f"SPDX-License-Identifier: {license}"),
+        ]
+    found += [(code, f"SPDX-License-Identifier: {code}") for code, _ in _NAMES if code[-1].isdigit()]
+    found += [("BSD", f"SPDX-License-Identifier: BSD-{k}-Clause") for k in (2, 3)]
+    by_words: dict[tuple[str, str], tuple[str, str]] = {}
+    for code, text in found:
+        by_words.setdefault((code, " ".join(re.findall(r"[^\W_]+", text.lower()))), (code, text))
+    return tuple(by_words.values())
+
+
+#: The default templates, no two of the same license and words.
+NOTICES = _templates()
+
 
 def notices(spark: SparkSession) -> DataFrame:
     """The templates above as a table."""

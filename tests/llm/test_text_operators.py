@@ -313,26 +313,28 @@ def test_classifier_of_odd_rows(spark):
     assert classifier.select_documents(docs, model).columns == docs.columns
 
 
-def license_shares(text):
-    """Best share of each notice in any window, by looking everywhere."""
+def shingles_of(text):
     words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
-    held = {" ".join(words[k : k + 5]): k for k in range(len(words) - 4)}
-    out = {}
+    return {" ".join(words[k : k + 5]) for k in range(len(words) - 4)}
+
+
+def license_shares(text):
+    """Best share of each license's notices in the whole text."""
+    held, out = shingles_of(text), {}
     for name, notice in licenses.NOTICES:
-        own = [w for w in re.split(r"[\W_]+", notice.lower()) if w]
-        shingles = {" ".join(own[k : k + 5]) for k in range(len(own) - 4)}
-        out[name] = max(out.get(name, 0), sum(s in held for s in shingles) / len(shingles))
+        own = shingles_of(notice)
+        out[name] = max(out.get(name, 0), len(own & held) / len(own))
     return out
 
 
 def test_licenses(spark, given):
-    rows = [(10020 + k, f"Some text. {t} More text.") for k, (_, t) in enumerate(licenses.NOTICES)]
+    rows = [(10100 + k, f"Some text. {t} More text.") for k, (_, t) in enumerate(licenses.NOTICES)]
     rows += [(10060, "Licensed under the Apache License, Version 9.9."), (10061, "all rights reserved")]
     rows += [(10062, "filler " * 500 + licenses.NOTICES[0][1].upper() + " filler" * 500)]
     docs = table(spark, rows + ODD).select("doc_id", "text").unionByName(given.select("doc_id", "text"))
     found = {(r.doc_id, r.license): r.containment for r in licenses.find_licenses(docs).collect()}
     for k, (name, _) in enumerate(licenses.NOTICES):
-        assert [x for i, x in found if i == 10020 + k] == [name] and found[10020 + k, name] == 1.0
+        assert [x for i, x in found if i == 10100 + k] == [name] and found[10100 + k, name] == 1.0
     assert (10062, "AGPL-3.0") in found and not any(i in (10060, 10061) for i, _ in found)
     for i, t in rows_of(docs):
         shares = license_shares(t)
@@ -341,6 +343,43 @@ def test_licenses(spark, given):
             assert full <= {n for d, n in found if d == i} <= {n for n, s in shares.items() if s >= 0.8}
 
 
+#: How files and pages really say it: other lead-ins, punctuation, line marks, edited words.
+REWORDED = [
+    ("GPL-3.0", "This software is licensed under the GNU General Public License, version 3."),
+    ("Apache-2.0", "The code is licensed under Apache License, Version 2.0; it is available under the Apache 2.0 license."),
+    ("Apache-2.0", "// SPDX-License-Identifier: Apache-2.0"),
+    ("GPL-2.0", "# SPDX-License-Identifier: GPL-2.0-only"),
+    ("BSD", "/* SPDX-License-Identifier: BSD-3-Clause */"),
+    ("MIT", "Loom is free and distributed under the terms of the MIT license, see COPYING."),
+    ("CC-BY-SA-4.0", "<a href='https://creativecommons.org/licenses/by-sa/4.0/'>some rights reserved</a>"),
+    ("CC-BY-NC-4.0", "This text is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    (
+        "GPL-3.0",
+        "Loom is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General"
+        " Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n"
+        " * (at your option) any later version.",
+    ),
+    (
+        "LGPL-2.1",
+        "This module is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 2.1 of the License,"
+        " or (at your choice) any later version.",
+    ),
+    (
+        "MIT",
+        "to deal in the Program without restriction, including without limitation the rights to use, copy, modify,"
+        " merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom"
+        " the Software is furnished to do so",
+    ),
+]
+
+
+def test_reworded_licenses(spark):
+    docs = table(spark, [(k, f"Readme of a tool.\n{t}\nThe end.") for k, (_, t) in enumerate(REWORDED)])
+    found = {(r.doc_id, r.license) for r in licenses.find_licenses(docs).collect()}
+    assert found == {(k, name) for k, (name, _) in enumerate(REWORDED)}
+
+
 def test_empty_tables(spark):
     docs = table(spark, [])
     path = P.path("byte_bpe_50k.json"), P.PATTERN
