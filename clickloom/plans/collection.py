@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.labels import crawl_outcome
 from clickloom.functions.network import address_position
 from clickloom.functions.text import key_text, non_empty, page_name
+from clickloom.operators.nested_ranges import locate_innermost
 from clickloom.operators.ranges import locate_in_ranges
 from clickloom.operators.snapshots import upsert
 from clickloom.sources.versions import VersionedTable
@@ -102,10 +103,12 @@ def new_ips(ips: DataFrame, ip_locations: DataFrame, max_items: int = 0) -> Data
     return todo.orderBy("ip").limit(max_items) if max_items else todo
 
 
-def enrich_ips(ips: DataFrame, ranges: DataFrame) -> DataFrame:
+def enrich_ips(ips: DataFrame, ranges: DataFrame, nested: bool = False) -> DataFrame:
     """Each IPv4 or IPv6 address with the attributes of its address range.
 
-    ``ranges`` has ``ip_from`` and ``ip_to`` as addresses and the attributes.
+    ``ranges`` has ``ip_from`` and ``ip_to`` as addresses and the attributes. With
+    ``nested`` they may lie within each other or cross, and the innermost counts;
+    otherwise they must be disjoint.
     """
     points = ips.select("ip", address_position(F.col("ip")).alias("_at"))
     spans = ranges.select(
@@ -113,7 +116,8 @@ def enrich_ips(ips: DataFrame, ranges: DataFrame) -> DataFrame:
         address_position(F.col("ip_to")).alias("_high"),
         *GEO_ATTRIBUTES,
     )
-    return locate_in_ranges(points, "_at", spans, "_low", "_high").select("ip", *GEO_ATTRIBUTES)
+    locate = locate_innermost if nested else locate_in_ranges
+    return locate(points, "_at", spans, "_low", "_high").select("ip", *GEO_ATTRIBUTES)
 
 
 def crawl_results(log: DataFrame) -> DataFrame:

@@ -335,6 +335,11 @@ def q_ip_range_enrich(d: Domain) -> DataFrame:
     return collection.enrich_ips(collection.unique_ips(d.events), d.derived("ip_ranges"))
 
 
+@query
+def q_ip_nested_enrich(d: Domain) -> DataFrame:
+    return collection.enrich_ips(collection.unique_ips(d.events), d.derived("ip_networks"), nested=True)
+
+
 @query
 def q_crawl_outcome(d: Domain) -> DataFrame:
     return collection.crawl_results(d.derived("crawl_log"))

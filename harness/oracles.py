@@ -437,6 +437,15 @@ FINAL: dict[str, str] = {
         from (select ip, {_IP_NUMBER.format("ip")} as at from ips) as p
           left join (select *, {_IP_NUMBER.format("ip_from")} as low, {_IP_NUMBER.format("ip_to")} as high
                      from ip_ranges) as r on p.at between r.low and r.high""",
+    "q_ip_nested_enrich": f"""
+        select ip, country_short, country_long, region, city, latitude, longitude, zipcode, timezone
+        from (
+          select p.ip, r.*, row_number() over (
+            partition by p.ip order by low desc, high, country_short desc nulls last) as nth
+          from (select ip, {_IP_NUMBER.format("ip")} as at from ips) as p
+            left join (select *, {_IP_NUMBER.format("ip_from")} as low, {_IP_NUMBER.format("ip_to")} as high
+                       from ip_networks) as r on p.at between r.low and r.high) as around
+        where nth = 1""",
     "q_crawl_outcome": """
         select product_id, if(error is null, product_name, null) as product_name, source_url,
           if(exception is not null, 0, status) as status, error, cast(updated_at as varchar) as updated_at

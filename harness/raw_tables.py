@@ -230,6 +230,26 @@ from customer join nation on c_nationkey = n_nationkey
 where c_custkey % 10 <> 7
 """
 
+
+
+def _blocks(group: str, low: str, high: str) -> str:
+    """Address blocks around the ranges of so many customers."""
+    return f"""
+select
+  {_dotted(low)}, {_dotted(high)}, 'N' || @s(g), 'BLOCK_{group}', 'REGION_' || @s(g % 7), 'CITY_' || @s(g),
+  cast(g % 90 as double), cast(g % 180 as double), lpad(@s(g % 100000), 5, '0'), '+00:00', -g
+from (select distinct cast(floor(c_custkey / {group}) as bigint) as g from customer) as groups{group}
+"""
+
+
+# blocks within blocks, and some that cross the next one
+_IP_NETWORKS = "union all".join([
+    _IP_RANGES,
+    _blocks("20", "80 * g", "80 * g + 79"),
+    _blocks("200", "800 * g", "800 * g + 760"),
+    _blocks("300", "1200 * g + 500", "1200 * g + 1900"),
+])
+
 _MANIFEST = """
 select
   'lake-' || @s(o_custkey % 3) as bucket,
@@ -274,6 +294,7 @@ SOURCES = {
     "raw_ip_locations": _IP_LOCATIONS,
     "raw_products": _PRODUCTS,
     "ip_ranges": _IP_RANGES,
+    "ip_networks": _IP_NETWORKS,
     "manifest": _MANIFEST,
     "raw_pages": _PAGES,
     "crawl_log": _CRAWL_LOG,

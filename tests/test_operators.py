@@ -9,6 +9,7 @@ from clickloom.operators.joins import lookup_join, spread_nulls
 from clickloom.operators.keyed_table import KeyedTable
 from clickloom.operators.keys import with_dense_key
 from clickloom.operators.latest import latest_per_key
+from clickloom.operators.nested_ranges import locate_innermost
 from clickloom.operators.ranges import locate_in_ranges
 from clickloom.operators.snapshots import upsert
 from clickloom.workspace import materialise
@@ -122,6 +123,77 @@ def test_overlapping_ranges_are_refused(spark, small_scans):
             locate_in_ranges(points, "p", ranges, "low", "high")
 
 
+@pytest.fixture
+def many_parts(spark):
+    """Small axes stay in several partitions."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, before)
+
+
+def innermost(spans, p):
+    around = [s for s in spans if s[0] is not None and s[1] is not None and s[0] <= p <= s[1]]
+    return max(around, key=lambda s: (s[0], -s[1], s[2]), default=(None, None, None))
+
+
+def crossing(draw):
+    return [(a, a + draw.choice([0, 3, 50, 2000]), k) for k, a in enumerate(draw.choices(range(9000), k=700))]
+
+
+def nested(draw):
+    """Blocks within blocks, down to single points, with gaps."""
+    spans, todo = [], [(0, 8191)]
+    while todo:
+        a, b = todo.pop()
+        if draw.random() < 0.8:
+            spans.append((a, b, len(spans)))
+        if b > a:
+            todo += [(a, (a + b) // 2), ((a + b) // 2 + 1, b)] if draw.random() < 0.9 else []
+    return spans
+
+
+def onion(draw):
+    """Every range holds all later ones."""
+    return [(k, 9000 - k, k) for k in range(2000)]
+
+
+@pytest.mark.parametrize("shape", [crossing, nested, onion])
+def test_innermost_range_matches_brute_force(spark, many_parts, small_scans, shape):
+    draw = random.Random(11)
+    spans = shape(draw)
+    spans += [(100, 100, -5), (100, 100, -6), (100, 100, -5), (5, None, -7), (None, 9, -8), (60, 50, -9)]
+    picks = draw.choices(range(-50, 9500), k=3000) + [100] * 1000 + [s[1] for s in spans[:300]]
+    points = spark.createDataFrame([(p,) for p in picks] + [(None,)], "p int")
+    ranges = spark.createDataFrame(spans, "low int, high int, tag int")
+    got = sorted((r.p, r.low, r.high, r.tag) for r in locate_innermost(points, "p", ranges, "low", "high").where("p IS NOT NULL").collect())
+    by_point = {p: innermost(spans, p) for p in set(picks)}
+    assert [(p, tag) for p, _, _, tag in got] == sorted((p, by_point[p][2]) for p in picks)
+
+
+def test_innermost_range_spreads_hot_points_and_ranges(spark, many_parts, monkeypatch):
+    """One range holds nearly all points, one point a third of all rows; both are salted."""
+    monkeypatch.setattr("clickloom.operators.joins.HOT_ROWS", 1000)
+    points = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("p"))
+    ranges = spark.createDataFrame([(0, 19_990, "wide"), (5, 9, "narrow")], "low long, high long, tag string")
+    got = locate_innermost(points, "p", ranges, "low", "high")
+    assert "_salt" in plan_of(got)
+    counts = {r.tag: r["count"] for r in got.groupBy("tag").count().collect()}
+    rows_at = [7 if k % 3 == 0 else k for k in range(20_000)]
+    narrow = sum(5 <= p <= 9 for p in rows_at)
+    missed = sum(p > 19_990 for p in rows_at)
+    assert counts == {"narrow": narrow, "wide": 20_000 - narrow - missed, None: missed}
+
+
+def test_innermost_range_of_empty_tables(spark):
+    points = spark.createDataFrame([("1",), (None,)], "p string")
+    ranges = spark.createDataFrame([("0", "5", "a")], "low string, high string, tag string")
+    assert locate_innermost(points, "p", ranges.limit(0), "low", "high").where("tag IS NULL").count() == 2
+    assert locate_innermost(points.limit(0), "p", ranges, "low", "high").count() == 0
+    assert locate_innermost(points, "p", ranges, "low", "high").where("tag = 'a'").count() == 1
+
+
 def test_range_points_may_repeat_or_be_missing(spark):
     ranges = spark.createDataFrame(
         [("100", "199", "a"), ("300", None, "b"), ("500", "400", "c")], "low string, high string, tag string"
