@@ -16,7 +16,7 @@ from clickloom.operators.keyed_table import KeyedTable
 from clickloom.plans import bi, checks, collection, diagnostics, mart, profiling, sketches, staging
 from clickloom.plans.order_bitmaps import distinct_orders, order_bitmaps
 from clickloom.session import tune
-from clickloom.sources import lake, routing, schemas
+from clickloom.sources import clustering, lake, routing, schemas
 from clickloom.sources.listing import list_objects
 from clickloom.sources.loader import Warehouse
 from clickloom.sources.versions import VersionedTable
@@ -246,6 +246,19 @@ def q_resumed_export(d: Domain) -> DataFrame:
     )
 
 
+@query
+def q_skipped_files(d: Domain) -> DataFrame:
+    """Filters on the third clustering key alone, on events in the interleaved order of all three."""
+    path = new_path(d.spark, "clustered")
+    stored = d.events.withColumn("ingest_date", F.lit("2024-03-01"))
+    clustering.recluster_interleaved(stored, schemas.CLUSTER_KEYS["events"], path, files=32)
+    events = d.spark.read.parquet(path)
+    ids = d.events.select("product_id").where(F.col("product_id").isNotNull()).distinct()
+    wanted = [("product_id", r.product_id) for r in ids.orderBy("product_id").limit(10).collect()]
+    report = clustering.skipped_files(events, wanted)
+    return report.select("column_name", "value", "rows", (F.col("files_read") * 2 <= F.col("files")).alias("most_skipped"))
+
+
 class _Interrupted(Warehouse):
     """A loader during whose every load another one sets out to load the same objects."""
 

@@ -432,6 +432,9 @@ FINAL: dict[str, str] = {
         where product_id not in (select product_id from raw_products)""",
     "q_new_ips": """
         select ip from ips where ip not in (select ip from raw_ip_locations) order by ip limit 400""",
+    "q_skipped_files": """
+        select 'product_id' as column_name, product_id as value, count(*) as rows, true as most_skipped
+        from raw_ev where product_id is not null group by product_id order by product_id limit 10""",
     "q_ip_range_enrich": f"""
         select p.ip, country_short, country_long, region, city, latitude, longitude, zipcode, timezone
         from (select ip, {_IP_NUMBER.format("ip")} as at from ips) as p
