@@ -502,6 +502,8 @@ FINAL: dict[str, str] = {
     "q_fact_sales": f"select * replace ({_money('sales_amount')} as sales_amount) from fact",
     "q_vw_sales_performance": f"select * replace ({_money('sales_amount')} as sales_amount, "
     "cast(full_date as varchar) as full_date) from vw",
+    "q_month_rebuild": f"select * exclude (sales_order_line_key) replace ({_money('sales_amount')} as sales_amount, "
+    "cast(full_date as varchar) as full_date) from vw",
     "q_customer_masked": """
         select customer_key, device_id, user_id_db, is_identified_user,
           sha256(email_address) as email_hash from d_customer""",
