@@ -229,6 +229,15 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(df.filter("vec_id = 1000"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_finds_other_rows_of_the_query_id(spark):
+    rows = [(50, [1.0, 2.0]), (50, [1.0, 3.0]), (50, [1.0, 3.0]), (7, [0.5, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = topk.top_k(df, F.col("vec_id") % 50 == 0)
+    one, two, both = (256 * 256 * x for x in (0.5, 0.5, 7))
+    wanted = [(50, 1, 50, both), (50, 2, 50, both), (50, 3, 7, one), (50, 1, 50, both), (50, 2, 7, two)]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(wanted)
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     columns, kept = docs.columns, [docs]
