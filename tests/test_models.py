@@ -366,3 +366,27 @@ def test_order_bitmaps_add_up(spark):
         want = {tuple(r)[:-1]: r.n for r in view.groupBy(*dims).agg(F.count_distinct("order_id").alias("n")).collect()}
         assert got == {k: n for k, n in want.items() if n}
     assert distinct_orders(order_bitmaps(view.limit(0), ["country"]), "country").count() == 0
+
+
+def test_reports_write_only_what_they_read(spark):
+    event = checkout("a" * 24, device_id="d", ip="1", product_id="1", price="5")
+    m = build(spark, [event], [ip("1")], [product("1")])
+    assert mart.event_geo(m.checkouts, m.ip_locations).count() == 1
+    assert not {"cart_lines", "lines", "sales", "fact"} & set(vars(m))
+    assert m.view("order_id", "sales_amount").count() == m.totals("metal_type").count() == 1
+    assert "sales" in vars(m) and "fact" not in vars(m)
+    assert m.view().count() == 1 and "fact" in vars(m)
+
+
+def test_a_range_with_several_rows_gives_an_address_all(spark):
+    places = "country_short country_long region city latitude longitude zipcode timezone".split()
+    spans = [("2001:db8::1", "2001:db8::1", "a"), ("2001:db8::1", "2001:db8::1", "b"), ("1.0.0.0", "1.0.0.9", "c")]
+    ranges = spark.createDataFrame(spans, "ip_from string, ip_to string, city string")
+    ranges = ranges.withColumns({c: F.lit(None).cast("string") for c in places if c != "city"})
+    ips = spark.createDataFrame([("2001:db8::1",), ("1.0.0.5",), ("9.9.9.9",), ("no address",)], "ip string")
+    got = sorted((r.ip, r.city) for r in collection.enrich_ips(ips, ranges).fillna("-").collect())
+    assert got == [("1.0.0.5", "c"), ("2001:db8::1", "a"), ("2001:db8::1", "b"), ("9.9.9.9", "-"), ("no address", "-")]
+    crossing = spark.createDataFrame([("1.0.0.5", "1.0.0.20", "d")], "ip_from string, ip_to string, city string")
+    crossing = ranges.unionByName(crossing, allowMissingColumns=True)
+    with pytest.raises(ValueError, match="overlap"):
+        collection.enrich_ips(ips, crossing)

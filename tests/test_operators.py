@@ -56,6 +56,15 @@ def test_dense_key_has_one_single_partition_step_over_counts(spark, skewed):
     assert re.search(r"Window .*_part.*rows|sum\(_rows", plan, re.S)
 
 
+def test_dense_key_writes_kept_columns_alone(spark, skewed):
+    order = [F.col(c).asc_nulls_first() for c in skewed.columns]
+    whole, kept = with_dense_key(skewed, "n", order), with_dense_key(skewed, "n", order, keep=skewed.columns[:1])
+    assert kept.columns == ["n", skewed.columns[0]]
+    assert rows(kept) == rows(whole.select(*kept.columns))
+    (scan, *_) = re.findall(r"ReadSchema: struct<([^>]*)>", plan_of(kept))
+    assert skewed.columns[-1] not in scan
+
+
 def test_dense_key_of_nothing(spark):
     empty = spark.createDataFrame([], "k string")
     assert with_dense_key(empty, "n", [F.asc("k")]).count() == 0
