@@ -586,19 +586,11 @@ def removed_lines(
     if not asking.isEmpty():
         rest = materialise(candidates(None, asking), "line_pairs")
         matched = matched.unionByName(_verified(plain, rest, threshold))
-    marks = firsts.join(matched.withColumn("similar", F.lit(True)), _PLACE, "left").select(
-        "set",
-        "set2",
-        F.struct(*_PLACE).alias("first"),
-        F.coalesce("similar", F.lit(False)).alias("similar"),
-    )
-    return (
-        lines.select(*_PLACE, "set", "set2")
-        .join(marks, ["set", "set2"])
-        .filter(F.col("similar") | (F.struct(*_PLACE) != F.col("first")))
-        .select(*_PLACE)
-        .distinct()
-    )
+    # of each set all but the first line go, and the firsts that match another; one of the two
+    # hashes tells apart the texts of a repeated id
+    line = [*_PLACE, "set"]
+    held = firsts.select(*line).join(matched, _PLACE, "left_anti")
+    return lines.select(*line).join(held, line, "left_anti").select(*_PLACE).distinct()
 
 
 def _without(text_at: int, count_at: int | None, names: list[str]):

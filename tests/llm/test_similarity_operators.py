@@ -48,6 +48,16 @@ LINES = [
 ]
 
 
+def test_removed_lines_join_on_one_hash(spark):
+    """The last join carries ids, line numbers and one hash: half the bytes of two."""
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e\nx y z"), (2, "other words here")], "doc_id long, text string")
+    found = line_dedup.removed_lines(docs)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    carried = [line for line in plan if "Join" in line or "Project" in line]
+    assert carried and not any("set2" in line for line in carried)
+    assert sorted(map(tuple, found.collect())) == [(2, 0)]
+
+
 @pytest.mark.parametrize("witnesses, block", [(4, 512), (1, 3)])
 def test_removed_lines(spark, monkeypatch, witnesses, block):
     monkeypatch.setattr(line_dedup, "FIRST_WITNESSES", witnesses)
