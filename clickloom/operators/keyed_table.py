@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.latest import latest_per_key
@@ -60,21 +60,30 @@ class KeyedTable:
 
     def replace(self, rows: DataFrame) -> None:
         """Write the whole table; keys must be unique (see ``upsert`` for batches)."""
-        source = materialise(rows, "keyed-table")
-        self._manifest.publish(self._written(source.withColumn("_owner", F.lit(0).cast("long"))))
+        # the owner is written, too: as a constant it would be left out of the ranges
+        source = materialise(rows.withColumn("_owner", F.lit(0).cast("long")), "keyed-table")
+        self._manifest.publish(self._written(source))
 
     def _written(self, rows: DataFrame) -> DataFrame:
         """Write rows with the number of the file they go for, and describe the files made.
 
         Rows lie in ranges of owner and key and a file never mixes owners, so new files
-        lie where their owner lay.
+        lie where their owner lay. A task writes as many files as its rows make, the rows
+        of a key all into one.
         """
         folder = f"{self.path}/data/{uuid.uuid4().hex[:16]}"
         count = max(1, -(-rows.count() // self.rows_per_file))
+        tasks = min(count, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        within = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+        file = F.min("_nth").over(Window.partitionBy("_owner", self.key))
         (
-            rows.repartitionByRange(count, "_owner", self.key)
+            rows.repartitionByRange(tasks, "_owner", self.key)
             .sortWithinPartitions("_owner", self.key)
-            .write.partitionBy("_owner")
+            .withColumn("_nth", within)
+            .withColumn("_file", F.floor(file / self.rows_per_file))
+            .drop("_nth")
+            .sortWithinPartitions("_owner", "_file", self.key)
+            .write.partitionBy("_owner", "_file")
             .parquet(folder)
         )
         if not rows.columns or rows.isEmpty():  # a table without rows keeps its columns

@@ -264,6 +264,16 @@ def test_upsert_rewrites_touched_files_only(spark, tmp_path, small_scans):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_small_files_take_no_task_each(spark, tmp_path):
+    table = KeyedTable(spark, f"{tmp_path}/t", "k", rows_per_file=10)
+    table.replace(spark.range(2000).select(F.format_string("k%06d", F.col("id") % 1900).alias("k"), "id"))
+    files = table.files().collect()
+    assert len(files) >= 180 and all(f.rows < 30 for f in files)
+    assert len({re.search(r"part-(\d+)", f.file)[1] for f in files}) <= 8
+    spans = sorted((f.low, f.high) for f in files)  # rows of one key lie in one file
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_upsert_at_both_ends_nulls_and_ties(spark, tmp_path):
     table, base = keyed(spark, tmp_path, 300)
     expected = base
