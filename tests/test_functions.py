@@ -14,7 +14,7 @@ from clickloom.functions.labels import crawl_outcome, metal_type, payment_label,
 from clickloom.functions.network import address_position
 from clickloom.functions.numbers import inside, safe_divide, safe_integer, safe_numeric
 from clickloom.functions.temporal import date_key, epoch_date, epoch_timestamp, week_from_sunday
-from clickloom.functions.text import page_name, squeeze
+from clickloom.functions.text import packed_id, page_name, squeeze, unpacked_id
 
 
 def values(spark, inputs, expression, kind="string"):
@@ -132,3 +132,11 @@ def test_page_name(spark):
 )
 def test_address_position(spark, ip, position):
     assert values(spark, [ip], address_position) == [position]
+
+
+def test_packed_ids(spark):
+    ids = ["", "0a", "0A", "0", "6566", "ef", "65efg", "\u00e9", "f" * 24, None]
+    got = spark.createDataFrame([(i,) for i in ids], "id string").select("id", packed_id(F.col("id")).alias("packed"))
+    back = got.select("id", "packed", unpacked_id(F.col("packed")).alias("back")).collect()
+    assert [r.back for r in back] == ids and len({r.packed and bytes(r.packed) for r in back}) == len(ids)
+    assert len(back[-2].packed) == 13

@@ -378,6 +378,17 @@ def test_reports_write_only_what_they_read(spark):
     assert m.view().count() == 1 and "fact" in vars(m)
 
 
+def test_stored_lines_hold_no_ids_twice(spark):
+    """A line's id is its event's and a number; places are looked up once per address."""
+    events = [checkout(c * 24, device_id="d", ip="1", product_id="1", price="5") for c in "abc"]
+    m = build(spark, [*events, checkout("no hex-1", device_id="d", ip="1", product_id="1")], [ip("1")], [product("1")])
+    ids = sorted(r.line_item_id for r in m.fact.collect())
+    assert ids == ["a" * 24 + "-1", "b" * 24 + "-1", "c" * 24 + "-1", "no hex-1-1"]
+    for stored in (m.cart_lines, m.event_lines, m.sales, m.fact):
+        assert "line_item_id" not in spark.read.parquet(*stored.inputFiles()).columns
+    assert mart.location_keys(m.checkouts, m.ip_locations, m.dim_location).count() == 1
+
+
 def test_a_range_with_several_rows_gives_an_address_all(spark):
     places = "country_short country_long region city latitude longitude zipcode timezone".split()
     spans = [("2001:db8::1", "2001:db8::1", "a"), ("2001:db8::1", "2001:db8::1", "b"), ("1.0.0.0", "1.0.0.9", "c")]
