@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.jsontext import field_scalar, json_objects, object_id
+from clickloom.functions.jsontext import (
+    OBJECTS,
+    field_scalar,
+    has_object_id,
+    json_elements,
+    json_maps,
+    object_id,
+)
 from clickloom.functions.numbers import inside, safe_divide, safe_integer, safe_numeric
 from clickloom.functions.temporal import epoch_date, epoch_timestamp
 from clickloom.functions.text import packed_id, unpacked_id
@@ -52,11 +59,9 @@ def checkout_events(events: DataFrame) -> DataFrame:
     day = epoch_date(F.col("time_stamp"))
     price = safe_numeric(F.col("price"))
     return (
-        events.where(is_checkout())
-        .withColumn("event_id", object_id(F.col("_id")))
-        .where(F.col("event_id").isNotNull())
+        events.where(is_checkout() & has_object_id(F.col("_id")))
         .select(
-            "event_id",
+            object_id(F.col("_id")).alias("event_id"),
             event_type().alias("event_type"),
             "time_stamp",
             epoch_timestamp(F.col("time_stamp")).alias("event_ts"),
@@ -142,16 +147,14 @@ def cart_lines(checkouts: DataFrame) -> DataFrame:
     Elements leave the generator parsed: a filter on what is read from them can't be
     pushed below it, where it would parse them again.
     """
-    parsed = json_objects(F.col("cart_products"), PRODUCT_FIELDS + QUANTITY_FIELDS + AMOUNT_FIELDS)
-    elements = checkouts.select(
-        "event_id",
-        "order_id",
-        "currency_code",
-        "price_raw",
-        F.posexplode(parsed).alias("position", "element"),
+    cart, kept = F.col("cart_products"), ["event_id", "order_id", "currency_code", "price_raw"]
+    parsed = checkouts.select(*kept, cart, F.from_json(cart, OBJECTS).alias("whole"))
+    elements = parsed.select(
+        *kept, cart, F.posexplode(json_maps(cart, F.col("whole"))).alias("position", "element")
     )
     element = F.col("element")
-    ids = [field_scalar(element, name) for name in PRODUCT_FIELDS]
+    line = F.get(json_elements(cart), F.col("position"))
+    ids = [field_scalar(element, name, line) for name in PRODUCT_FIELDS]
     # a nested object's text is no number, so amounts and quantities need no scalar test
     amounts = [safe_numeric(element[name]) for name in AMOUNT_FIELDS]
     quantities = [safe_integer(element[name]) for name in QUANTITY_FIELDS]

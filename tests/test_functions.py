@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.jsontext import (
     field_scalar,
+    has_object_id,
     is_json_array,
     json_elements,
     json_objects,
@@ -49,6 +50,7 @@ def test_only_arrays_have_elements(spark):
 def test_object_id(spark):
     ids = ['{"$oid":"ab12"}', '{"$oid": {"x":1}}', '{"oid":"x"}', "ab12", None, 'x "$oid" : "cd" x']
     assert values(spark, ids, object_id) == ["ab12", None, None, None, None, "cd"]
+    assert values(spark, ids, has_object_id) == [True, False, False, False, None, True]
 
 
 def test_safe_casts(spark):

@@ -401,3 +401,31 @@ def test_a_range_with_several_rows_gives_an_address_all(spark):
     crossing = ranges.unionByName(crossing, allowMissingColumns=True)
     with pytest.raises(ValueError, match="overlap"):
         collection.enrich_ips(ips, crossing)
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cart_is_parsed_whole_and_odd_elements_alone(spark):
+    carts = [
+        '[{"id":"1"},5,{"id":"2","qty":3},null,{"id":"x","id":"y"}]',
+        '[{"id":1E999},{"product_id":{"v":1},"id":"7"},{"id":"\\"NaN\\""},{"id":"{x"}]',
+        '{"id":"1"}',
+        "[]",
+        None,
+    ]
+    rows = [(str(k), None, None, None, cart) for k, cart in enumerate(carts)]
+    kind = "event_id string, order_id string, currency_code string, price_raw decimal(38,9), cart_products string"
+    lines = staging.cart_lines(spark.createDataFrame(rows, kind))
+    assert "from_json(ArrayType(MapType" in _optimized(lines)
+    got = {(r.event_id, r.line_number): (r.product_id, r.order_qty) for r in lines.collect()}
+    assert got == {
+        ("0", 1): ("1", 1),
+        ("0", 3): ("2", 3),
+        ("0", 5): ("x", 1),
+        ("1", 1): ("Infinity", 1),
+        ("1", 2): ("7", 1),
+        ("1", 3): ('"NaN"', 1),
+        ("1", 4): ("{x", 1),
+    }
