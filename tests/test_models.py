@@ -429,3 +429,10 @@ def test_cart_is_parsed_whole_and_odd_elements_alone(spark):
         ("1", 3): ('"NaN"', 1),
         ("1", 4): ("{x", 1),
     }
+
+
+def test_line_item_report_parses_a_cart_once(spark):
+    carts = [("1", '[{"id":"1"}]'), (None, "[]"), ("2", "{}"), (None, None)]
+    report = diagnostics.line_item_report(spark.createDataFrame(carts, "product_id string, cart_products string"))
+    assert _optimized(report).count("lengthOfJsonArray") == 1
+    assert report.first()[:] == (4, 2, 3, 2, 1)
