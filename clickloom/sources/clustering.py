@@ -82,6 +82,7 @@ def recluster_interleaved(
         ranged.sortWithinPartitions(*order)
         .drop("_cell", "_row")
         .write.mode("errorifexists")
+        .option("compression", "zstd")
         .partitionBy(partition_by)
         .parquet(path)
     )
