@@ -19,7 +19,8 @@ LOG2_BUCKETS = 12
 def sketch_rows(df: DataFrame, table: str) -> DataFrame:
     """``ingest_date``, ``column``, ``row_count``, ``null_count`` and the ``sketch`` of values.
 
-    One scan and one buffer per column and date in a task, however many rows.
+    One scan and one buffer per column and date in a task, however many rows. A text is
+    sketched by its bytes: the same sketch, without decoding them first.
     """
     columns = scalar_columns(table)
     aggregates = []
@@ -27,7 +28,7 @@ def sketch_rows(df: DataFrame, table: str) -> DataFrame:
         value = F.col(f"`{name}`")
         aggregates += [
             F.count_if(value.isNull()).alias(f"n{k}"),
-            F.hll_sketch_agg(value.cast("string"), LOG2_BUCKETS).alias(f"s{k}"),
+            F.hll_sketch_agg(value.cast("string").cast("binary"), LOG2_BUCKETS).alias(f"s{k}"),
         ]
     wide = df.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("row_count"), *aggregates)
     entries = [

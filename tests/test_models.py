@@ -436,3 +436,13 @@ def test_line_item_report_parses_a_cart_once(spark):
     report = diagnostics.line_item_report(spark.createDataFrame(carts, "product_id string, cart_products string"))
     assert _optimized(report).count("lengthOfJsonArray") == 1
     assert report.first()[:] == (4, 2, 3, 2, 1)
+
+
+def test_sketches_take_bytes_and_merge_with_those_of_text(spark):
+    df = spark.range(500).select(
+        F.lit("2024-03-01").alias("ingest_date"), *[F.col("id").cast(f.dataType).alias(f.name) for f in PRODUCTS if f.name != "updated_at"], F.lit(None).cast("timestamp_ntz").alias("updated_at")
+    )
+    rows = sketches.sketch_rows(df, "products")
+    assert "as binary)" in _optimized(rows)
+    of_text = df.agg(F.hll_sketch_agg("product_id", sketches.LOG2_BUCKETS)).first()[0]
+    assert rows.where("column = 'product_id'").first().sketch == of_text
