@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.keys import with_dense_key
+from clickloom.workspace import freed_shuffles
 
 #: Bits of a key's rank; a table has at most ``2 ** RANK_BITS - 1`` bounds per key on the driver.
 RANK_BITS = 8
@@ -78,14 +79,15 @@ def recluster_interleaved(
     )
     order = [partition_by, "_cell", *keys, "_row"]
     ranged = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
-    (
+    writer = (
         ranged.sortWithinPartitions(*order)
         .drop("_cell", "_row")
         .write.mode("errorifexists")
         .option("compression", "zstd")
         .partitionBy(partition_by)
-        .parquet(path)
     )
+    with freed_shuffles(df.sparkSession):
+        writer.parquet(path)
 
 
 def skipped_files(stored: DataFrame, filters: list[tuple[str, Any]]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clickloom.plans import sketches
 from clickloom.plans.order_bitmaps import distinct_orders, order_bitmaps
 from clickloom.sources.versions import VersionedTable
+from clickloom import workspace
 from clickloom.workspace import materialise
 from clickloom.plans import bi, checks, collection, diagnostics, mart, profiling, staging
 from clickloom.sources.schemas import EVENTS, IP_LOCATIONS, PRODUCTS
@@ -389,6 +390,42 @@ def test_stored_lines_hold_no_ids_twice(spark):
     assert mart.location_keys(m.checkouts, m.ip_locations, m.dim_location).count() == 1
 
 
+def _below(folder):
+    return sorted(name.rsplit("-", 1)[0] for name in os.listdir(folder))
+
+
+def test_fact_leaves_one_copy_and_no_shuffle_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_dir", lambda _: f"{tmp_path}/clickloom/{spark.sparkContext.applicationId}")
+    folder = workspace.shared_dir(spark)
+    cart = '[{"product_id":"p1"},{"product_id":"p1"}]'
+    built = build(spark, [checkout(k, cart_products=cart) for k in ("a", "ab", "0c", "!")], [], [product("p1")])
+    key = "sales_order_line_key"
+    fact = built.fact.orderBy(key).collect()
+    ids = [r.line_item_id for r in fact]
+    assert [r[key] for r in fact] == list(range(1, 9)) and ids == sorted(ids) and ids[0] == "!-1"
+    assert not {key, "sales-lines"} & set(_below(folder)) and "fact-sales" in _below(folder)
+    assert sorted(map(str, built.sales.collect())) == sorted(map(str, built.fact.select(built.sales.columns).collect()))
+    again = build(spark, [checkout("a", cart_products=cart)], [], [product("p1")])
+    before = again.sales  # handed out, so it stays
+    assert again.fact.count() == before.count() == 2
+    built.discard()
+    again.discard()
+    assert not {"checkouts", "cart-lines", "fact-sales", "sales-lines"} & set(_below(folder))
+
+
+def test_what_a_write_shuffled_is_deleted(spark):
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {name for name in store.getAllFiles().mkString("|").split("|") if "shuffle_" in name}
+
+    before = shuffled()
+    materialise(spark.range(1000).repartition(3, "id"), "moved")
+    assert not shuffled() - before
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(setting, None) in (None, "false")
+
+
 def test_a_range_with_several_rows_gives_an_address_all(spark):
     places = "country_short country_long region city latitude longitude zipcode timezone".split()
     spans = [("2001:db8::1", "2001:db8::1", "a"), ("2001:db8::1", "2001:db8::1", "b"), ("1.0.0.0", "1.0.0.9", "c")]
